@@ -43,16 +43,19 @@ def filtered_kpis(timeline: DataFrame, years=None, vehicles=None) -> DataFrame:
     key = F.col("annee") * 100 + F.col("mois")
     stats = tl.agg(F.sum("courses").cast("bigint").alias("courses"),
                    F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    present = timeline.agg(
-        F.sort_array(F.collect_set("annee")).alias("_ys"),
-        F.sort_array(F.collect_set("vehicle")).alias("_vs"))
-    ys = F.filter("_ys", lambda y: y.isin(list(years))) if years is not None else F.col("_ys")
-    vs = F.filter("_vs", lambda v: v.isin(list(vehicles))) if vehicles is not None else F.col("_vs")
-    return stats.crossJoin(present).select(
+    ys = timeline.select("annee").distinct()
+    vs = timeline.select("vehicle").distinct()
+    if years is not None:
+        ys = ys.filter(F.col("annee").isin(list(years)))
+    if vehicles is not None:
+        vs = vs.filter(F.col("vehicle").isin(list(vehicles)))
+    ys = ys.agg(F.array_join(F.transform(F.sort_array(F.collect_list("annee")),
+                                         lambda y: y.cast("string")), ", ")).scalar()
+    vs = vs.agg(F.array_join(F.sort_array(F.collect_list("vehicle")), ", ")).scalar()
+    return stats.select(
         F.coalesce(F.col("courses"), F.lit(0)).cast("bigint").alias("courses"),
         _mm_yyyy(F.col("_lo")).alias("debut"), _mm_yyyy(F.col("_hi")).alias("fin"),
-        F.array_join(F.transform(ys, lambda y: y.cast("string")), ", ").alias("annees"),
-        F.array_join(vs, ", ").alias("vehicules"))
+        ys.alias("annees"), vs.alias("vehicules"))
 
 
 def share_by_vehicle(timeline: DataFrame, years=None, vehicles=None) -> DataFrame:
@@ -147,10 +150,7 @@ def links_touching(links: DataFrame, zones: DataFrame, focus) -> DataFrame:
     known = (links.join(F.broadcast(ids), F.col("source") == F.col("_id"), "left_semi")
                   .join(F.broadcast(ids), F.col("target") == F.col("_id"), "left_semi"))
     if isinstance(focus, DataFrame):
-        f = focus.select(F.col(focus.columns[0]).alias("_f"))
-        return (known.crossJoin(F.broadcast(f.limit(1)))
-                     .filter((F.col("source") == F.col("_f")) | (F.col("target") == F.col("_f")))
-                     .drop("_f"))
+        focus = focus.select(F.min(focus.columns[0])).scalar()
     return known.filter((F.col("source") == focus) | (F.col("target") == focus))
 
 
@@ -321,8 +321,9 @@ def deviation(by_category: DataFrame, overall: DataFrame, dim: str, order) -> Da
     cats = F.array(*[F.lit(c) for c in order])
     ranked = by_category.withColumn("rang", F.array_position(cats, F.col(dim)).cast("int")) \
                         .filter(F.col("rang") > 0)
+    ranked = ranked.withColumn("moyenne", overall.select("moyenne").scalar())
     dev = F.round((F.col("prix_km_moyen") - F.col("moyenne")) / F.col("moyenne") * F.lit(100.0), 2)
-    return (ranked.crossJoin(overall)
+    return (ranked
                   .select("rang", dim, "prix_km_moyen", "courses",
                           F.when(F.col("moyenne") != 0, dev).alias("ecart_pct"),
                           (F.col("prix_km_moyen") >= F.col("moyenne")).alias("au_dessus"))
@@ -340,8 +341,9 @@ def extremes(by_condition: DataFrame, overall: DataFrame) -> DataFrame:
     """Dearest and cheapest condition, with the dearest one's % deviation."""
     hi = F.max(F.struct("prix_km_moyen", F.lit(0).alias("_"), "condition"))
     lo = F.min(F.struct("prix_km_moyen", F.lit(0).alias("_"), "condition"))
-    agg = by_condition.agg(hi.alias("_hi"), lo.alias("_lo"))
-    return agg.crossJoin(overall).select(
+    agg = by_condition.agg(hi.alias("_hi"), lo.alias("_lo")) \
+                      .withColumn("moyenne", overall.select("moyenne").scalar())
+    return agg.select(
         F.col("_hi.condition").alias("plus_chere"), F.col("_hi.prix_km_moyen").alias("prix_plus_chere"),
         F.round((F.col("_hi.prix_km_moyen") - F.col("moyenne")) / F.col("moyenne") * F.lit(100.0), 1)
          .alias("ecart_pct"),

@@ -59,12 +59,17 @@ def weather_e(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item: seven years, surcharges that start late, 'fhv' without fares."""
     li = table(spark, sf_dir, "lineitem")
+    return li.select(*trips_l_columns(li))
+
+
+def trips_l_columns(li: DataFrame) -> list:
+    """Column expressions of the line-item trip view over a lineitem frame."""
     flag, ship = F.col("l_returnflag"), F.col("l_shipdate")
     yr = F.year(ship)
     price = _dec(F.col("l_extendedprice"))
     tax = F.col("l_tax").cast("decimal(4,2)")
     null = F.lit(None)
-    return li.select(
+    return [
         F.when(flag == "A", "yellow").when(flag == "N", "green").otherwise("fhv").alias("vehicle_type"),
         ship.alias("pickup_ts"),
         yr.cast("int").alias("year"),
@@ -84,7 +89,7 @@ def trips_l(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("improvement_surcharge"),
         F.when((yr < 2000) | (flag != "A"), null).otherwise(_dec(F.col("l_linenumber")))
          .cast("decimal(18,2)").alias("congestion_surcharge"),
-    )
+    ]
 
 
 def zones_s(spark: SparkSession, sf_dir: str) -> DataFrame:
