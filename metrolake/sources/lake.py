@@ -22,13 +22,14 @@ def read_silver_weather(spark: SparkSession, base: str) -> DataFrame:
 def write_silver_trips(trips: DataFrame, base: str) -> None:
     """Partitioned overwrite of the touched (vehicle, year, month) partitions
     only (dynamic partition overwrite), so a re-run replaces what it recomputes
-    and leaves the other partitions alone. Rows are clustered by partition key
-    first, so each task writes few files per partition instead of one per
-    (task, partition) pair."""
-    spark = trips.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (trips.repartition(*TRIP_PARTITIONS)
-          .write.mode("overwrite").partitionBy(*TRIP_PARTITIONS).parquet(base))
+    and leaves the other partitions alone.
+
+    No shuffle before the write: partition tags come from the raw file name,
+    so every input split belongs to exactly one partition and each task writes
+    one file into one partition. A repartition on the partition keys would
+    instead send a whole (possibly huge) month to a single task."""
+    (trips.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(*TRIP_PARTITIONS).parquet(base))
 
 
 def write_silver_weather(weather: DataFrame, base: str) -> None:

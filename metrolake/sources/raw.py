@@ -64,8 +64,9 @@ def read_weather_json(spark: SparkSession, root: str) -> DataFrame:
     from metrolake.operators.weather import explode_hourly
     raw = (spark.read.schema(WEATHER_RAW_SCHEMA).option("recursiveFileLookup", "true")
            .option("pathGlobFilter", "*.json").json(root))
-    raw = raw.select("hourly", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})/[^/]+\.json$", 1)
-                     .cast("int").alias("year"))
+    # year = the last 4-digit directory of the path (``.../2016/01.json`` or ``.../year=2016/...``)
+    year = F.regexp_extract(F.col("_metadata.file_path"), r".*/(?:year=)?(\d{4})/", 1)
+    raw = raw.select("hourly", year.cast("int").alias("year"))
     return explode_hourly(raw, "year")
 
 
