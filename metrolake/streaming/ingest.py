@@ -34,8 +34,7 @@ def raw_stream(spark: SparkSession, raw_dir: str, raw_schema: T.StructType,
 def _writer(silver_base: str, strict_case: bool, window: tuple | None, tag_from_name: bool):
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         if tag_from_name:
-            b = batch.select("*", F.col("_metadata.file_name").alias("_file_name"))
-            norm = N.normalize(b, strict_case=strict_case, keep=["_file_name"])
+            norm = N.normalize(batch, strict_case=strict_case, keep=["_file_name"])
             norm = N.tag_from_file_name(norm, F.col("_file_name")).drop("_file_name")
         else:
             norm = N.normalize(batch, strict_case=strict_case, keep=TAGS)
@@ -50,7 +49,10 @@ def ingest(spark: SparkSession, raw_dir: str, raw_schema: T.StructType, silver_b
            tag_from_name: bool = True, max_files_per_trigger: int | None = None) -> int:
     """Process every raw file not yet consumed, then stop; returns the number
     of micro-batches that carried data."""
-    q = (raw_stream(spark, raw_dir, raw_schema, max_files_per_trigger).writeStream
+    stream = raw_stream(spark, raw_dir, raw_schema, max_files_per_trigger)
+    if tag_from_name:   # the source file name is only visible on the stream, not in foreachBatch
+        stream = stream.select("*", F.col("_metadata.file_name").alias("_file_name"))
+    q = (stream.writeStream
          .foreachBatch(_writer(silver_base, strict_case, window_years, tag_from_name))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
