@@ -32,7 +32,8 @@ def run_dir(spark: SparkSession) -> str:
 def _write_raw(spark, d, run, layouts=LAYOUTS):
     t = B._trips_l_with_line(spark, d)
     for name, shape in layouts.items():
-        shape(t).write.mode("overwrite").partitionBy(*B.TAGS).parquet(f"{run}/raw/{name}")
+        # one raw file per (vehicle, year, month), like the monthly source files
+        shape(t).repartition(*B.TAGS).write.mode("overwrite").partitionBy(*B.TAGS).parquet(f"{run}/raw/{name}")
     return t
 
 
