@@ -172,7 +172,7 @@ def _dense_hist_sql():
                       for i in range(K.NBINS))
     w = "CAST(sum(CAST(prix_km_moyen AS DECIMAL(18,2)) * courses) * 100 AS HUGEINT)"
     return (HIST_SQL + f"SELECT annee, zone, CAST({O.half_up_div(w, 'sum(courses)')} AS DOUBLE) / 100 "
-            f"AS prix_km_moyen, CAST(sum(courses) AS BIGINT) AS courses, to_json([{slots}]) AS hist "
+            f"AS prix_km_moyen, CAST(sum(courses) AS BIGINT) AS courses, CAST(to_json([{slots}]) AS VARCHAR) AS hist "
             "FROM hist GROUP BY annee, zone")
 
 
@@ -185,8 +185,8 @@ def q_c13(spark, d):
 def _labels_sql():
     labels = ", ".join(f"'{int(i * L_WIDTH)}-{int((i + 1) * L_WIDTH)}$'" for i in range(K.NBINS))
     return (O.with_views(["trips_l"], PPK, TOPZ) +
-            f"SELECT to_json([{labels}]) AS bins, "
-            "(SELECT to_json(list(pulocation_id ORDER BY pulocation_id)) FROM topz) AS zones")
+            f"SELECT CAST(to_json([{labels}]) AS VARCHAR) AS bins, "
+            "(SELECT CAST(to_json(list(pulocation_id ORDER BY pulocation_id)) AS VARCHAR) FROM topz) AS zones")
 
 
 @register("C14_bin_labels", _labels_sql())
@@ -213,7 +213,7 @@ def _heat_dense_sql():
                           for h in range(24))
         rows.append(f"[{cells}]")
     return (O.with_views(["trips_e"], HEAT) +
-            f"SELECT annee, vehicle_type, to_json([{', '.join(rows)}]) AS matrice FROM heat GROUP BY 1, 2")
+            f"SELECT annee, vehicle_type, CAST(to_json([{', '.join(rows)}]) AS VARCHAR) AS matrice FROM heat GROUP BY 1, 2")
 
 
 @register("C16_heatmap_dense", _heat_dense_sql())

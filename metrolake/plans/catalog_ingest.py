@@ -98,7 +98,7 @@ def q_a13(spark, d):
 
 @register("A13_manifest_summary", BASE +
           f"SELECT '{DATASET}' AS dataset_id, 'trips' AS kind, CAST(NULL AS VARCHAR) AS source_dir, "
-          "false AS sample_mode, to_json(list(DISTINCT year ORDER BY year)) AS trip_years, "
+          "false AS sample_mode, CAST(to_json(list(DISTINCT year ORDER BY year)) AS VARCHAR) AS trip_years, "
           "CAST(sum(size) AS BIGINT) AS taille_octets, CAST(count(*) AS BIGINT) AS fichiers FROM merged")
 def q_a13b(spark, d):
     return A.summarize(_merged(spark, d), DATASET).withColumn("trip_years", F.to_json("trip_years"))
@@ -185,7 +185,7 @@ def q_a19(spark, d):
     return A.committed_batches(_silver_paths(spark, d))
 
 
-@register("A20_resume_plan", RESUME + "SELECT vehicle_type, year, to_json(mois) AS mois, fichiers, statut FROM plan")
+@register("A20_resume_plan", RESUME + "SELECT vehicle_type, year, CAST(to_json(mois) AS VARCHAR) AS mois, fichiers, statut FROM plan")
 def q_a20(spark, d):
     return _plan(spark, d).withColumn("mois", F.to_json("mois"))
 
@@ -258,8 +258,8 @@ PRESENT = ("mo AS (SELECT DISTINCT 'trips-l' AS dataset_id, year, month FROM tri
 
 
 @register("A25_mart_completeness", O.with_views(["trips_l", "trips_e", "weather_e"], PRESENT) +
-          f"SELECT d.dataset_id, to_json(COALESCE((SELECT list(mart ORDER BY mart) FROM (SELECT unnest({_MARTS}) "
-          "AS mart) r WHERE mart NOT IN (SELECT mart FROM present p WHERE p.dataset_id = d.dataset_id)), [])) "
+          f"SELECT d.dataset_id, CAST(to_json(COALESCE((SELECT list(mart ORDER BY mart) FROM (SELECT unnest({_MARTS}) "
+          "AS mart) r WHERE mart NOT IN (SELECT mart FROM present p WHERE p.dataset_id = d.dataset_id)), [])) AS VARCHAR) "
           "AS manquants, NOT EXISTS (SELECT 1 FROM (SELECT unnest(" + _MARTS + ") AS mart) r WHERE mart NOT IN "
           "(SELECT mart FROM present p WHERE p.dataset_id = d.dataset_id)) AS complet "
           "FROM (SELECT DISTINCT dataset_id FROM present) d")

@@ -191,8 +191,8 @@ def weather_documents(weather: DataFrame) -> DataFrame:
 
 
 @register("B10_B12_weather_explode", O.with_views(["weather_e"]) +
-          "SELECT ts, temperature, CAST(NULL AS DOUBLE) AS precipitation, 0.0 AS snowfall, weather_code, "
-          "CASE WHEN row_number() OVER (PARTITION BY year(ts), month(ts) ORDER BY ts) <= 700 THEN 5.5 END "
+          "SELECT ts, temperature, CAST(NULL AS DOUBLE) AS precipitation, CAST(0.0 AS DOUBLE) AS snowfall, weather_code, "
+          "CASE WHEN row_number() OVER (PARTITION BY year(ts), month(ts) ORDER BY ts) <= 700 THEN CAST(5.5 AS DOUBLE) END "
           "AS wind_speed, CAST(year(ts) AS INT) AS year FROM weather_e")
 def q_b10(spark, d):
     return W.explode_hourly(weather_documents(S.weather_e(spark, d)))
