@@ -94,9 +94,10 @@ def keep_in_window(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
 
 def keep_in_manifest_window(df: DataFrame, manifest_entries: DataFrame) -> DataFrame:
     """B8 + A22: window from min/max year over all manifest entries, applied
-    without a driver round trip (two scalar subqueries over the manifest)."""
-    lo, hi = time_window(manifest_entries.agg(F.min("year")).scalar(),
-                         manifest_entries.agg(F.max("year")).scalar())
+    without a driver round trip: one scalar subquery returns both bounds (the
+    two uses are the same subquery, which Spark executes once)."""
+    years = manifest_entries.agg(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi"))).scalar()
+    lo, hi = time_window(years.getField("lo"), years.getField("hi"))
     return keep_in_window(df, lo, hi)
 
 

@@ -26,9 +26,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     Set our own only where it is unset (tests): ``fallback`` or a folder under
     the system temp dir. On a cluster the setting must point to shared storage."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+            d = None
     if not d:
         d = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "metrolake-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001
+            pass
     return d

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,13 +37,17 @@ def sample_files(files: DataFrame, n: int = 0) -> DataFrame:
     return files.orderBy("path").limit(n) if n and n > 0 else files
 
 
-def schema_fingerprints(spark: SparkSession, paths) -> dict[str, list[str]]:
-    """Group raw files by their parquet schema (footer read per file), so each
-    group can be scanned with one reader: int/double drift between files of
-    one layout cannot be merged by the parquet reader."""
+def schema_fingerprints(spark: SparkSession, paths, threads: int = 16) -> dict[str, list[str]]:
+    """Group raw files by their parquet schema, so each group can be scanned
+    with one reader: int/double drift between files of one layout cannot be
+    merged by the parquet reader. Only footers are read (one per file, a few
+    hundred monthly files in practice), concurrently from the driver."""
+    paths = list(paths)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema.json(), paths))
     groups: dict[str, list[str]] = defaultdict(list)
-    for p in paths:
-        groups[spark.read.parquet(p).schema.json()].append(p)
+    for p, fp in zip(paths, schemas):
+        groups[fp].append(p)
     return dict(groups)
 
 

@@ -67,7 +67,7 @@ def test_fingerprint_scan_handles_int_double_drift(spark, workdir):
 def test_silver_build_resume_and_idempotence(spark, workdir):
     raw_tree(f"{workdir}/raw")
     files = R.discover_files(spark, f"{workdir}/raw")
-    entries = SV.manifest_entries_for(files, "nyc")
+    entries = SV.manifest_entries_for(files, "city")
     silver = f"{workdir}/silver"
     first = SV.build_trips(spark, files, entries, silver, limit_batches=1).first()   # only (yellow, 2009)
     assert first.ok and first.expected == 1        # garbage and 2003 timestamps fall out of the window
@@ -102,7 +102,7 @@ def test_manifest_classify_and_merge(spark):
     assert st == {"a": "skipped", "b": "healed", "c": "new"}
     merged = A.merge_entries(manifest, found.filter("key != 'a'"))
     assert [r.key for r in merged.collect()] == ["a", "b", "c"]
-    s = A.summarize(merged, "nyc").first()
+    s = A.summarize(merged, "city").first()
     assert s.trip_years == [2016] and s.taille_octets == 6 and s.fichiers == 3
 
 

@@ -48,7 +48,7 @@ def test_modern_drift_case_and_zero_vs_null(spark):
     assert r.congestion_surcharge == 0.0               # present and 0 stays 0
     assert r.cbd_convenience_fee is None               # absent stays NULL
     assert r.airport_fee == 1.25                       # case-insensitive alias by default
-    assert N.normalize(drifted, strict_case=True).first().airport_fee is None   # reference behaviour
+    assert N.normalize(drifted, strict_case=True).first().airport_fee is None   # exact-case rule
 
 
 def test_fhv_and_fhvhv_alias_order(spark):
