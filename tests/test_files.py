@@ -138,3 +138,17 @@ def test_stream_ingest_named_files_second_run_is_empty(spark, workdir):
     assert STREAM.ingest(spark, src, **args) == 0
     got = L.read_silver_trips(spark, f"{workdir}/silver").collect()
     assert len(got) == 2 and {(r.vehicle_type, r.year, r.month) for r in got} == {("yellow", 2016, 7)}
+
+
+def test_interrupted_partition_is_rebuilt(spark, workdir):
+    raw_tree(f"{workdir}/raw")
+    files = R.discover_files(spark, f"{workdir}/raw")
+    entries = SV.manifest_entries_for(files, "city")
+    silver = f"{workdir}/silver"
+    # a crashed writer left only temporary output for the 2016-07 partition
+    os.makedirs(f"{silver}/_temporary/0/vehicle_type=yellow/year=2016/month=7", exist_ok=True)
+    _write(f"{silver}/_temporary/0/vehicle_type=yellow/year=2016/month=7/part-0.parquet",
+           pa.table({"x": [1]}))
+    assert SV.committed_partitions(spark, silver).count() == 0
+    check = SV.build_trips(spark, files, entries, silver).first()
+    assert check.ok and check.expected == 4

@@ -72,3 +72,31 @@ def test_surcharge_null_is_not_zero(spark):
     r = M.surcharge_evolution(t, ["extra", "mta_tax"]).first()
     assert r.extra_moyen is None and r.extra_total is None
     assert r.mta_tax_moyen == 0.25 and r.mta_tax_total == 0.5
+
+
+def test_serving_weighted_means_skip_null_rows(spark):
+    from metrolake.operators import serve as D
+    zs = spark.createDataFrame([(1, 2020, "yellow", 10, 5, 12.5, None), (1, 2021, "yellow", 30, 0, 10.0, 4.0)],
+                               "zone int, annee int, vehicle string, pickups long, dropoffs long, "
+                               "tarif_moyen double, prix_km_moyen double")
+    r = D.zone_aggregate(zs).first()
+    assert (r.pickups, r.dropoffs) == (40, 5)
+    assert r.tarif == 10.625 and r.prix_km == 4.0      # NULL row out of the price weights
+
+
+def test_busiest_slot_ties_take_first_day_hour(spark):
+    from metrolake.operators import serve as D
+    long = spark.createDataFrame([(2024, "y", 5, 2, 7), (2024, "y", 3, 4, 7), (2024, "y", 1, 4, 7)],
+                                 "annee int, vehicle_type string, heure int, jour int, n long")
+    r = D.busiest_slot(long).first()
+    assert (r.jour, r.heure, r.n) == (2, 5, 7)
+
+
+def test_deviation_fixed_order_drops_unknown(spark):
+    from metrolake.operators import serve as D
+    by = spark.createDataFrame([("Pluie", 3.0, 10), ("Inconnu", 9.0, 1), ("Dégagé", 2.0, 10)],
+                               "condition string, prix_km_moyen double, courses long")
+    overall = spark.createDataFrame([(2.5,)], "moyenne double")
+    rows = D.deviation(by, overall, "condition", K.CONDITIONS).collect()
+    assert [r.condition for r in rows] == ["Dégagé", "Pluie"]
+    assert [r.ecart_pct for r in rows] == [-20.0, 20.0] and [r.au_dessus for r in rows] == [False, True]
