@@ -38,3 +38,31 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         except Exception:  # noqa: BLE001
             pass
     return d
+
+
+def recommended_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
+    """Settings we would give a large cluster for this workload (not applied here:
+    the caller owns the session).
+
+    * AQE re-plans joins from runtime sizes, coalesces small shuffle partitions
+      and splits skewed ones; the initial shuffle partition count is sized so
+      that a full-scan aggregate input lands near the advisory partition size
+      before coalescing (aggregations shrink it by orders of magnitude anyway).
+    * Larger input splits keep the task count of a 100 TB scan reasonable.
+    * The broadcast threshold stays at Spark's default scale: every broadcast
+      in this package is either checked (weather hours, zones) or bounded by a
+      top-k limit, so no data-sized table is ever broadcast.
+    """
+    scan_bytes = input_tb * 1e12
+    shuffle_parts = max(total_cores * 3, int(scan_bytes / 512e6 / 8))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
