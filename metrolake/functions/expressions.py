@@ -21,6 +21,28 @@ def hour_start(ts) -> Column:
                                 F.lit(0), F.lit(0))
 
 
+# Fixed text layouts parsed field by field (no session time zone involved).
+_WALL_CLOCK_LAYOUTS = {
+    "yyyy-MM-dd HH:mm:ss": (r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$", 6),
+    "yyyy-MM-dd'T'HH:mm": (r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2})$", 5),
+}
+
+
+def parse_wall_clock(text, fmt: str) -> Column:
+    """Parse local wall-clock text into TIMESTAMP_NTZ; NULL when unparsable.
+
+    Parsing to a session-zone timestamp and casting to NTZ would move times
+    that fall in a daylight-saving gap of the session zone; the known layouts
+    are therefore split into fields and rebuilt with ``try_make_timestamp_ntz``."""
+    t = _c(text).cast("string")
+    if fmt not in _WALL_CLOCK_LAYOUTS:
+        return F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
+    rx, n = _WALL_CLOCK_LAYOUTS[fmt]
+    parts = [F.regexp_extract(t, rx, i).try_cast("int") for i in range(1, n + 1)]
+    secs = parts[5] if n == 6 else F.lit(0)
+    return F.try_make_timestamp_ntz(parts[0], parts[1], parts[2], parts[3], parts[4], secs)
+
+
 def weather_condition(code, bounds=K.CONDITION_BOUNDS, unknown=K.UNKNOWN_CONDITION,
                       clear=K.CLEAR_CONDITION, storm=K.STORM_CONDITION) -> Column:
     """WMO code -> condition label (NULL -> unknown, 0 -> clear, ranges, else storm)."""

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metrolake import constants as K
+from metrolake.functions.expressions import parse_wall_clock
 from metrolake.schemas import CANONICAL_COLUMNS
 
 
@@ -41,7 +42,7 @@ def canonical_column(raw_columns, name: str, dtype: T.DataType, aliases, legacy:
     c = F.col(f"`{src}`")
     if isinstance(dtype, T.TimestampNTZType):
         if legacy:
-            c = F.try_to_timestamp(c.cast("string"), F.lit(ts_format))  # B5
+            c = parse_wall_clock(c, ts_format)                          # B5
         return c.cast("timestamp_ntz").alias(name)
     return c.try_cast(dtype).alias(name)                                # B4
 

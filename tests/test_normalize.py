@@ -84,3 +84,18 @@ def test_tags_from_file_name(spark):
     df = spark.createDataFrame([("yellow_tripdata_2016-07.parquet",)], "f string")
     r = N.tag_from_file_name(df, F.col("f")).first()
     assert (r.vehicle_type, r.year, r.month) == ("yellow", 2016, 7)
+
+
+def test_wall_clock_parse_ignores_session_time_zone(spark):
+    from metrolake.functions.expressions import parse_wall_clock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2016-03-13 02:30:00", "2016-03-13T02:00"), ("bad", "2016-13-01T00:00")],
+                                   "a string, b string")
+        rows = df.select(parse_wall_clock("a", "yyyy-MM-dd HH:mm:ss").alias("a"),
+                         parse_wall_clock("b", "yyyy-MM-dd'T'HH:mm").alias("b")).collect()
+        assert rows[0].a == dt.datetime(2016, 3, 13, 2, 30) and rows[0].b == dt.datetime(2016, 3, 13, 2, 0)
+        assert rows[1].a is None and rows[1].b is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
