@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metrolake import constants as K
-from metrolake.schemas import MANIFEST_SCHEMA
+from metrolake.schemas import MANIFEST_SCHEMA  # noqa: F401  (re-exported)
 
 ENTRY_COLS = ["key", "size", "vehicle_type", "year", "month"]
 

@@ -152,3 +152,27 @@ def test_interrupted_partition_is_rebuilt(spark, workdir):
     assert SV.committed_partitions(spark, silver).count() == 0
     check = SV.build_trips(spark, files, entries, silver).first()
     assert check.ok and check.expected == 4
+
+
+def test_run_all_end_to_end_and_rerun(spark, workdir):
+    from metrolake.plans import lakehouse
+    raw_tree(f"{workdir}/raw")
+    doc = {"hourly": {"time": ["2016-07-01T08:00", "2016-07-02T09:00"], "temperature_2m": [21.0, 25.0],
+                      "precipitation": [0.0, 1.2], "snowfall": [0.0, 0.0], "weather_code": [0, 61],
+                      "wind_speed_10m": [3.0, 4.0]}}
+    os.makedirs(f"{workdir}/weather/2016", exist_ok=True)
+    with open(f"{workdir}/weather/2016/07.json", "w") as fh:
+        fh.write(json.dumps(doc))
+    with open(f"{workdir}/zones.csv", "w") as fh:
+        fh.write("LocationID,Borough,Zone,service_zone\n132,Queens,JFK Airport,Airports\n")
+    out = lakehouse.run_all(spark, f"{workdir}/raw", f"{workdir}/lake", "city",
+                            weather_root=f"{workdir}/weather", zones_csv=f"{workdir}/zones.csv")
+    assert out["trips_check"].first().ok and out["weather_check"].first().ok
+    comp = out["completeness"].first()
+    assert comp.dataset_id == "city" and comp.complet, comp.manquants
+    assert out["lineage"].first().taille_octets > 0
+    cond = {r.condition: r.courses for r in out["mart:weather_deviation/rows"].collect()}
+    assert cond == {"Dégagé": 1}            # the 2016-07-01 08:00 trip with distance > 0
+    again = lakehouse.run_all(spark, f"{workdir}/raw", f"{workdir}/lake", "city")
+    assert again["trips_check"].first().expected == 0        # nothing left to ingest
+    assert spark.read.json(f"{workdir}/lake/_manifest/city", recursiveFileLookup=True).count() == 2
