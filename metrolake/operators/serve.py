@@ -348,3 +348,18 @@ def extremes(by_condition: DataFrame, overall: DataFrame) -> DataFrame:
         F.round((F.col("_hi.prix_km_moyen") - F.col("moyenne")) / F.col("moyenne") * F.lit(100.0), 1)
          .alias("ecart_pct"),
         F.col("_lo.condition").alias("moins_chere"), F.col("_lo.prix_km_moyen").alias("prix_moins_chere"))
+
+
+# --- wide views of long serving frames ---------------------------------------------------
+
+def pivot_table(long: DataFrame, row, col: str, value: str, values=None, fill=None) -> DataFrame:
+    """Wide form of a long serving frame (D4 month x vehicle, D17 origin x
+    destination, D21 year x zone, D26 band x year, D28 vehicle x year): one row
+    per ``row`` key, one column per ``col`` value. Pass ``values`` to fix the
+    column set (and skip Spark's distinct pass over ``col``); the long frames
+    are bounded marts, so the pivot runs on small data."""
+    rows = [row] if isinstance(row, str) else list(row)
+    p = long.groupBy(*rows).pivot(col, values).agg(F.first(value, ignorenulls=True))
+    if fill is not None:
+        p = p.na.fill(fill)
+    return p.orderBy(*rows)

@@ -77,16 +77,17 @@ def q_c4(spark, d):
 
 
 # ----------------------------------------------------------------------------- C5
-def _c5_sql():
+def _c5_select():
     cols = []
     for s in L_SUR:
         cols.append(f"{O.avg_exact(s, O.SCALES[s])} AS {s}_moyen")
         cols.append(f"{O.sum_round(s)} AS {s}_total")
-    return (O.with_views(["trips_l"]) + "SELECT year AS annee, vehicle_type, " + ", ".join(cols)
+    return ("SELECT year AS annee, vehicle_type, " + ", ".join(cols)
             + " FROM trips_l GROUP BY year, vehicle_type")
 
 
-C5_SQL = _c5_sql()
+C5_SELECT = _c5_select()
+C5_SQL = O.with_views(["trips_l"]) + C5_SELECT
 
 
 @register("C5_surcharge_evolution", C5_SQL)
@@ -191,7 +192,7 @@ def _labels_sql():
 
 @register("C14_bin_labels", _labels_sql())
 def q_c14(spark, d):
-    out = M.price_bin_labels(None, L_WIDTH, trips=tl(spark, d))
+    out = M.price_bin_labels(tl(spark, d), L_WIDTH)
     return out.select(F.to_json("bins").alias("bins"), F.to_json("zones").alias("zones"))
 
 

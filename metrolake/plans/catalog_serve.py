@@ -15,7 +15,7 @@ from metrolake.operators import marts as M
 from metrolake.operators import questions as Q
 from metrolake.operators import serve as D
 from metrolake.operators import weather as W
-from metrolake.plans.catalog import (DO, HEAT, HIST, HV, HZ, JV, JZ, L_SUR, L_WIDTH, LINKS_SQL, NODES_SQL, PPK,
+from metrolake.plans.catalog import (C5_SELECT, DO, HEAT, HIST, HV, HZ, JV, JZ, L_SUR, L_WIDTH, LINKS_SQL, NODES_SQL, PPK,
                                      PPKB, PU, RAIN_GATE_SMALL, RESTRICTED, TIMELINE, TIPS, TOPZ, WDIM, ZS,
                                      _ratio_sql, register, te, tl, we)
 from metrolake.sources import surrogates as S
@@ -67,14 +67,7 @@ ZS_CTES = [PU, DO, ZS, ZAGG]
 WEATHER_V = ["trips_e", "weather_e"]
 
 
-def _sur_sql():
-    from metrolake.plans.catalog import C5_SQL
-    body = C5_SQL.split("\n")
-    # C5_SQL = WITH trips_l AS (...)\nSELECT ...: reuse its SELECT as a CTE
-    return "sur AS (" + body[-1] + ")"
-
-
-SUR = _sur_sql()
+SUR = f"sur AS ({C5_SELECT})"
 
 
 # ------------------------------------------------------------------ Spark-side mart builders

@@ -100,3 +100,11 @@ def test_deviation_fixed_order_drops_unknown(spark):
     rows = D.deviation(by, overall, "condition", K.CONDITIONS).collect()
     assert [r.condition for r in rows] == ["Dégagé", "Pluie"]
     assert [r.ecart_pct for r in rows] == [-20.0, 20.0] and [r.au_dessus for r in rows] == [False, True]
+
+
+def test_pivot_table_wide_form(spark):
+    from metrolake.operators import serve as D
+    long = spark.createDataFrame([(1, "0-1 km", 2019, 5.5), (1, "0-1 km", 2020, 6.0), (6, "20+ km", 2020, 2.0)],
+                                 "rang int, bande string, annee int, prix_km_moyen double")
+    wide = D.pivot_table(long, ["rang", "bande"], "annee", "prix_km_moyen", values=[2019, 2020]).collect()
+    assert [tuple(r) for r in wide] == [(1, "0-1 km", 5.5, 6.0), (6, "20+ km", None, 2.0)]
