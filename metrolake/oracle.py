@@ -81,7 +81,7 @@ def sum_round(x: str, d: int = 2) -> str:
 
 
 def sround(x: str, d: int = 2) -> str:
-    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {d}) AS DOUBLE)"
 
 
 def ddiv(num: str, den: str) -> str:
