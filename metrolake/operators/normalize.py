@@ -102,6 +102,12 @@ def keep_in_manifest_window(df: DataFrame, manifest_entries: DataFrame) -> DataF
     return keep_in_window(df, lo, hi)
 
 
+def keep_in_file_month(df: DataFrame) -> DataFrame:
+    """Optional strict window (Q1): keep trips whose pickup falls in the month
+    their file is named after (partition tags ``year``/``month``)."""
+    return df.filter((F.year("pickup_ts") == F.col("year")) & (F.month("pickup_ts") == F.col("month")))
+
+
 def drop_path_columns(df: DataFrame, cols=("vehicle_type", "year")) -> DataFrame:
     """Drop columns encoded in the output path."""
     return df.drop(*cols)

@@ -3,10 +3,11 @@
 Pending files (manifest entries whose (vehicle, year, month) partition is not
 committed yet) are scanned once per schema fingerprint, normalized, unioned,
 filtered to the manifest's time window and written with dynamic partition
-overwrite. Every step is narrow except the single ``repartition`` on the
-partition keys before the write, so a run costs one read and one write of the
-pending data. A re-run after a crash redoes only the partitions that were
-not committed, and overwriting a partition is idempotent.
+overwrite. Every step is narrow (no shuffle): a run costs one read of the
+pending raw files and one write; the row count for the write check is
+observed during that write, not recomputed. A re-run after a crash redoes only
+the partitions that were not committed, and overwriting a partition is
+idempotent.
 """
 from __future__ import annotations
 
@@ -44,9 +45,11 @@ def committed_partitions(spark: SparkSession, silver_base: str) -> DataFrame:
 
 
 def build_trips(spark: SparkSession, files: DataFrame, manifest_entries: DataFrame,
-                silver_base: str, limit_batches: int = 0, strict_case: bool = False) -> DataFrame:
+                silver_base: str, limit_batches: int = 0, strict_case: bool = False,
+                strict_month: bool = False) -> DataFrame:
     """Run bronze -> silver for the discovered ``files`` (frame with path,
-    vehicle_type, year, month); returns the A9 check row (expected, found, ok)."""
+    vehicle_type, year, month); returns the A9 check row (expected, found, ok).
+    ``strict_month`` also drops trips whose pickup lies outside their file's month."""
     todo = pending_files(files, committed_partitions(spark, silver_base))
     if limit_batches:
         batches = todo.select("vehicle_type", "year").distinct().orderBy("vehicle_type", "year").limit(limit_batches)
@@ -55,20 +58,19 @@ def build_trips(spark: SparkSession, files: DataFrame, manifest_entries: DataFra
     if not paths:
         return spark.createDataFrame([(0, 0, True)], "expected long, found long, ok boolean")
     trips = N.keep_in_manifest_window(R.read_raw_trips(spark, paths, strict_case), manifest_entries)
-    L.write_silver_trips(trips, silver_base)
+    if strict_month:
+        trips = N.keep_in_file_month(trips)
+    expected = L.write_silver_trips(trips, silver_base)
     written = L.read_silver_trips(spark, silver_base).join(
         todo.select("vehicle_type", "year", "month").distinct(), ["vehicle_type", "year", "month"], "left_semi")
-    expected = trips.agg(F.count(F.lit(1)).alias("expected"))
-    return expected.withColumn("found", written.agg(F.count(F.lit(1))).scalar()) \
-                   .withColumn("ok", F.col("expected") == F.col("found"))
+    return L.check_row(spark, expected, written)
 
 
 def build_weather(spark: SparkSession, weather_root: str, silver_weather: str) -> DataFrame:
     """Raw monthly weather JSON -> silver hourly weather partitioned by year."""
     w = R.read_weather_json(spark, weather_root)
-    L.write_silver_weather(w, silver_weather)
-    expected = w.agg(F.count(F.lit(1)).alias("expected"))
-    return L.verify_written(spark, expected, silver_weather)
+    expected = L.write_silver_weather(w, silver_weather)
+    return L.check_row(spark, expected, L.read_silver_weather(spark, silver_weather))
 
 
 def hourly_weather_table(weather: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Lake layers on any Hadoop path: silver trips / weather, JSON marts."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from metrolake.schemas import TRIP_SCHEMA
 
@@ -19,7 +19,13 @@ def read_silver_weather(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(base)
 
 
-def write_silver_trips(trips: DataFrame, base: str) -> None:
+def _observed(df: DataFrame, name: str):
+    """The frame with a row counter that is filled in by the action that runs it."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_silver_trips(trips: DataFrame, base: str) -> int:
     """Partitioned overwrite of the touched (vehicle, year, month) partitions
     only (dynamic partition overwrite), so a re-run replaces what it recomputes
     and leaves the other partitions alone.
@@ -27,22 +33,28 @@ def write_silver_trips(trips: DataFrame, base: str) -> None:
     No shuffle before the write: partition tags come from the raw file name,
     so every input split belongs to exactly one partition and each task writes
     one file into one partition. A repartition on the partition keys would
-    instead send a whole (possibly huge) month to a single task."""
+    instead send a whole (possibly huge) month to a single task.
+
+    Returns the number of rows written, observed during the write itself."""
+    trips, obs = _observed(trips, "silver_trips")
     (trips.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(*TRIP_PARTITIONS).parquet(base))
+    return int(obs.get["rows"])
 
 
-def write_silver_weather(weather: DataFrame, base: str) -> None:
-    """Weather overwrite partitioned by year."""
+def write_silver_weather(weather: DataFrame, base: str) -> int:
+    """Weather overwrite partitioned by year (hours: small); returns rows written."""
+    weather, obs = _observed(weather, "silver_weather")
     weather.repartition("year").write.mode("overwrite").partitionBy("year").parquet(base)
+    return int(obs.get["rows"])
 
 
-def verify_written(spark: SparkSession, source_count: DataFrame, base: str, reader=None) -> DataFrame:
-    """One-row check re-reading what was just written: expected vs found rows."""
-    read = (reader or spark.read.parquet)(base)
-    found = read.agg(F.count(F.lit(1)).alias("found"))
-    return (source_count.withColumn("found", found.scalar())
-                        .withColumn("ok", F.col("expected") == F.col("found")))
+def check_row(spark: SparkSession, expected: int, written: DataFrame) -> DataFrame:
+    """One row (expected, found, ok): rows observed while writing vs rows
+    found when re-reading what was written."""
+    found = written.agg(F.count(F.lit(1))).scalar()
+    return (spark.createDataFrame([(int(expected),)], "expected long")
+                 .withColumn("found", found).withColumn("ok", F.col("expected") == F.col("found")))
 
 
 def write_mart(mart: DataFrame, path: str) -> None:

@@ -20,7 +20,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else v          # exact: the oracle reproduces Spark's arithmetic
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v

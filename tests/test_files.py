@@ -176,3 +176,16 @@ def test_run_all_end_to_end_and_rerun(spark, workdir):
     again = lakehouse.run_all(spark, f"{workdir}/raw", f"{workdir}/lake", "city")
     assert again["trips_check"].first().expected == 0        # nothing left to ingest
     assert spark.read.json(f"{workdir}/lake/_manifest/city", recursiveFileLookup=True).count() == 2
+
+
+def test_strict_month_window_drops_foreign_pickups(spark, workdir):
+    raw_tree(f"{workdir}/raw")
+    ts = [dt.datetime(2016, 7, 31, 23, 0), dt.datetime(2016, 8, 1, 0, 30)]   # second one is August
+    _write(f"{workdir}/raw/2016/07/yellow_tripdata_2016-07.parquet",
+           pa.table({"VendorID": pa.array([1, 1], pa.int32()), "tpep_pickup_datetime": ts,
+                     "tpep_dropoff_datetime": ts, "trip_distance": [1.0, 1.0], "total_amount": [5.0, 5.0]}))
+    files = R.discover_files(spark, f"{workdir}/raw").filter("year = 2016 AND month = 7")
+    entries = SV.manifest_entries_for(files, "city")
+    loose = SV.build_trips(spark, files, entries, f"{workdir}/s1").first()
+    strict = SV.build_trips(spark, files, entries, f"{workdir}/s2", strict_month=True).first()
+    assert (loose.expected, strict.expected) == (2, 1)
