@@ -103,7 +103,7 @@ def ratio(num, den, digits=2, scale=1.0) -> Column:
     return F.round(q, digits)
 
 
-def weighted_mean(value, weight, digits=4) -> Column:
+def weighted_mean(value, weight, digits=4, over=None) -> Column:
     """Aggregate: sum(value * weight) / sum(weight) over rows where value is set,
     rounded HALF_UP to ``digits`` and returned as double.
 
@@ -111,9 +111,11 @@ def weighted_mean(value, weight, digits=4) -> Column:
     DECIMAL(.., 2) and is exact; the quotient keeps 20 digits before the final
     rounding, so the result equals the exactly rounded weighted mean."""
     v, w = _c(value), _c(weight)
-    num = F.sum(F.when(v.isNotNull(), v.cast("decimal(18,2)") * w)).cast("decimal(20,2)")
+    num = F.sum(F.when(v.isNotNull(), v.cast("decimal(18,2)") * w))
     den = F.sum(F.when(v.isNotNull(), w))
-    return F.round(F.try_divide(num, den), digits).cast("double")
+    if over is not None:           # same arithmetic as a window aggregate
+        num, den = num.over(over), den.over(over)
+    return F.round(F.try_divide(num.cast("decimal(20,2)"), den), digits).cast("double")
 
 
 def zone_name(location_id, zone) -> Column:

@@ -330,6 +330,35 @@ def deviation(by_category: DataFrame, overall: DataFrame, dim: str, order) -> Da
                   .orderBy("rang"))
 
 
+def deviation_one_pass(hw: DataFrame, dim: str = "condition", order=K.CONDITIONS, years=None) -> DataFrame:
+    """C28 + C29 + D29-D31 fused: the same rows as ``deviation(weighted_by(C28),
+    overall_mean(C29))`` from a single pass over the joined hourly rows.
+
+    ``rollup(year, dim)`` yields the (year, dim) sums and the per-year sums in
+    one aggregation; the overall mean is a window over that aggregate (years x
+    categories rows, bounded), so neither a second scan nor a join is needed."""
+    h = hw.withColumnRenamed("year", "annee")
+    if years is not None:
+        h = h.filter(F.col("annee").isin(list(years)))
+    lv = (h.rollup("annee", dim)
+           .agg(F.sum("courses").alias("courses"), F.sum("somme_total").alias("_tot"),
+                F.sum("somme_km").alias("_km"), F.grouping_id().alias("_g"))
+           .filter(F.col("annee").isNotNull() & (F.col("_g") <= 1))
+           .withColumn("_p", X.ratio("_tot", "_km")))
+    yearly = F.when(F.col("_g") == 1, F.col("_p"))
+    lv = lv.withColumn("moyenne", X.weighted_mean(yearly, "courses", over=Window.partitionBy()))
+    by = (lv.filter(F.col("_g") == 0).groupBy(dim)
+            .agg(X.weighted_mean("_p", "courses").alias("prix_km_moyen"),
+                 F.sum("courses").cast("bigint").alias("courses"), F.first("moyenne").alias("moyenne")))
+    cats = F.array(*[F.lit(c) for c in order])
+    dev = F.round((F.col("prix_km_moyen") - F.col("moyenne")) / F.col("moyenne") * F.lit(100.0), 2)
+    return (by.withColumn("rang", F.array_position(cats, F.col(dim)).cast("int")).filter(F.col("rang") > 0)
+              .select("rang", dim, "prix_km_moyen", "courses",
+                      F.when(F.col("moyenne") != 0, dev).alias("ecart_pct"),
+                      (F.col("prix_km_moyen") >= F.col("moyenne")).alias("au_dessus"))
+              .orderBy("rang"))
+
+
 def condition_hour_matrix(hour_rows: DataFrame, years=None) -> DataFrame:
     """(condition, hour) trip-weighted mean price (2 digits) over the selection."""
     return (_sel(hour_rows, years).groupBy("condition", "heure")

@@ -11,7 +11,5 @@ from metrolake.sources import surrogates as S
 
 
 def weather_deviation(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    cube = W.weather_cube(W.hourly_weather(S.trips_e(spark, sf_dir), S.weather_e(spark, sf_dir)))
-    by_cond = D.weighted_by(W.price_by_condition(cube), "condition", years)
-    overall = D.overall_mean(W.price_by_year(cube), years)
-    return D.deviation(by_cond, overall, "condition", K.CONDITIONS)
+    hw = W.hourly_weather(S.trips_e(spark, sf_dir), S.weather_e(spark, sf_dir))
+    return D.deviation_one_pass(hw, "condition", K.CONDITIONS, years)

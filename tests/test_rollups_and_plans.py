@@ -85,3 +85,13 @@ def test_silver_scan_pushes_filters_and_prunes_partitions(spark, workdir):
         assert f in pushed
     schema = p.split("ReadSchema: struct<", 1)[1].split(">", 1)[0]
     assert sorted(schema.split(",")) == ["pulocation_id:int", "total_amount:double", "trip_distance:double"]
+
+
+def test_fused_deviation_equals_composed_operators(spark):
+    from metrolake.operators import serve as D
+    trips, weather = S.trips_e(spark, "/root/testdata/sf0.01"), S.weather_e(spark, "/root/testdata/sf0.01")
+    hw = W.hourly_weather(trips, weather)
+    composed = D.deviation(D.weighted_by(W.price_by_condition(hw), "condition"),
+                           D.overall_mean(W.price_by_year(hw)), "condition", K.CONDITIONS)
+    _same(D.deviation_one_pass(hw), composed)
+    assert _plan(D.deviation_one_pass(hw)).count("Scan parquet") == 2       # events: trips + weather hours
