@@ -21,10 +21,13 @@ def hour_start(ts) -> Column:
                                 F.lit(0), F.lit(0))
 
 
-# Fixed text layouts parsed field by field (no session time zone involved).
+# Fixed text layouts parsed field by field (no session time zone involved):
+# layout -> (validating pattern, 1-based (start, length) of year, month, day, hour, minute[, second]).
 _WALL_CLOCK_LAYOUTS = {
-    "yyyy-MM-dd HH:mm:ss": (r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$", 6),
-    "yyyy-MM-dd'T'HH:mm": (r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2})$", 5),
+    "yyyy-MM-dd HH:mm:ss": (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+                            [(1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2)]),
+    "yyyy-MM-dd'T'HH:mm": (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$",
+                           [(1, 4), (6, 2), (9, 2), (12, 2), (15, 2)]),
 }
 
 
@@ -33,14 +36,15 @@ def parse_wall_clock(text, fmt: str) -> Column:
 
     Parsing to a session-zone timestamp and casting to NTZ would move times
     that fall in a daylight-saving gap of the session zone; the known layouts
-    are therefore split into fields and rebuilt with ``try_make_timestamp_ntz``."""
+    are therefore validated once and cut at fixed offsets, then rebuilt with
+    ``try_make_timestamp_ntz`` (impossible dates such as month 13 give NULL)."""
     t = _c(text).cast("string")
     if fmt not in _WALL_CLOCK_LAYOUTS:
         return F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
-    rx, n = _WALL_CLOCK_LAYOUTS[fmt]
-    parts = [F.regexp_extract(t, rx, i).try_cast("int") for i in range(1, n + 1)]
-    secs = parts[5] if n == 6 else F.lit(0)
-    return F.try_make_timestamp_ntz(parts[0], parts[1], parts[2], parts[3], parts[4], secs)
+    rx, spans = _WALL_CLOCK_LAYOUTS[fmt]
+    p = [F.substring(t, a, n).cast("int") for a, n in spans]
+    secs = p[5] if len(p) == 6 else F.lit(0)
+    return F.when(t.rlike(rx), F.try_make_timestamp_ntz(p[0], p[1], p[2], p[3], p[4], secs))
 
 
 def weather_condition(code, bounds=K.CONDITION_BOUNDS, unknown=K.UNKNOWN_CONDITION,
