@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from metrolake import constants as K
 from metrolake.functions import expressions as X
+from metrolake.plans.joins import broadcast_bounded
+
+# Largest id list (zone dimension, node list) broadcast without a shuffle join.
+MAX_DIMENSION_ROWS = 100_000
 
 
 def _sel(df: DataFrame, years=None, vehicles=None, year_col="annee", vehicle_col="vehicle") -> DataFrame:
@@ -146,9 +150,9 @@ def zone_detail(zone_agg: DataFrame, zone) -> DataFrame:
 
 def links_touching(links: DataFrame, zones: DataFrame, focus) -> DataFrame:
     """Links whose both ends are known zones and that touch the focus zone."""
-    ids = zones.select(F.col("location_id").alias("_id"))
-    known = (links.join(F.broadcast(ids), F.col("source") == F.col("_id"), "left_semi")
-                  .join(F.broadcast(ids), F.col("target") == F.col("_id"), "left_semi"))
+    ids = broadcast_bounded(zones.select(F.col("location_id").alias("_id")), MAX_DIMENSION_ROWS)
+    known = (links.join(ids, F.col("source") == F.col("_id"), "left_semi")
+                  .join(ids, F.col("target") == F.col("_id"), "left_semi"))
     if isinstance(focus, DataFrame):
         focus = focus.select(F.min(focus.columns[0])).scalar()
     return known.filter((F.col("source") == focus) | (F.col("target") == focus))
@@ -180,8 +184,8 @@ def surcharges_present(surcharge_mart: DataFrame, surcharges=K.SURCHARGES) -> Da
 # --- D15-D18: flows -------------------------------------------------------------------
 
 def links_between_nodes(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links whose both ends are top nodes (nodes are k rows: broadcast)."""
-    ids = F.broadcast(nodes.select(F.col("id").alias("_id")))
+    """Links whose both ends are top nodes (k rows: broadcast after the size check)."""
+    ids = broadcast_bounded(nodes.select(F.col("id").alias("_id")), MAX_DIMENSION_ROWS)
     return (links.join(ids, F.col("source") == F.col("_id"), "left_semi")
                  .join(ids, F.col("target") == F.col("_id"), "left_semi"))
 
