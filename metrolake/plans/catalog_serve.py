@@ -234,6 +234,13 @@ def q_d13(spark, d):
     return D.surcharge_series(M.surcharge_evolution(tl(spark, d), L_SUR), L_SUR, "moyen")
 
 
+@register("D13_surcharge_series_total", O.with_views(["trips_l"], SUR) +
+          "SELECT vehicle_type, surcharge, annee, value FROM (SELECT *, count(value) OVER "
+          f"(PARTITION BY vehicle_type, surcharge) AS n FROM {_long_sur_sql('total')} l) s WHERE n > 0")
+def q_d13b(spark, d):
+    return D.surcharge_series(M.surcharge_evolution(tl(spark, d), L_SUR), L_SUR, "total")
+
+
 @register("D14_surcharges_present", O.with_views(["trips_l"], SUR) +
           f"SELECT surcharge FROM {_long_sur_sql('moyen')} l GROUP BY surcharge HAVING count(value) > 0")
 def q_d14(spark, d):
