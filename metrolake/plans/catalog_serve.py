@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from metrolake import constants as K
 from metrolake import oracle as O
-from metrolake.functions import expressions as X
 from metrolake.operators import marts as M
 from metrolake.operators import questions as Q
 from metrolake.operators import serve as D
