@@ -38,16 +38,22 @@ def bronze_key(dataset_id, vehicle_type, year, month, name) -> F.Column:
                        F.lpad(c(month).cast("string"), 2, "0"), c(name))
 
 
-def classify(discovered: DataFrame, manifest: DataFrame, store_keys: DataFrame) -> DataFrame:
+def classify(discovered: DataFrame, manifest: DataFrame, store_keys: DataFrame,
+             compare_size: bool = False) -> DataFrame:
     """A11 + A12: each discovered file is ``skipped`` (key in the manifest),
     ``healed`` (object already stored but missing from the manifest: register,
-    do not copy) or ``new``. Two left joins on key; entry frames are small."""
-    known = manifest.select("key", F.lit(True).alias("_known"))
+    do not copy) or ``new``. Two left joins on key; entry frames are small.
+    With ``compare_size`` a known key whose size differs is ``changed``
+    (to be re-registered) instead of skipped."""
+    known = manifest.select("key", F.lit(True).alias("_known"), F.col("size").alias("_known_size"))
     stored = store_keys.select("key", F.lit(True).alias("_stored")).distinct()
     j = discovered.join(known, "key", "left").join(stored, "key", "left")
-    status = (F.when(F.col("_known"), F.lit("skipped"))
-               .when(F.col("_stored"), F.lit("healed")).otherwise(F.lit("new")))
-    return j.withColumn("status", status).drop("_known", "_stored")
+    status = F.when(F.col("_known"), F.lit("skipped"))
+    if compare_size:
+        status = F.when(F.col("_known") & ~F.col("size").eqNullSafe(F.col("_known_size")), F.lit("changed")) \
+                  .when(F.col("_known"), F.lit("skipped"))
+    status = status.when(F.col("_stored"), F.lit("healed")).otherwise(F.lit("new"))
+    return j.withColumn("status", status).drop("_known", "_stored", "_known_size")
 
 
 def new_files(discovered: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -100,6 +100,9 @@ def test_manifest_classify_and_merge(spark):
     store = spark.createDataFrame([("a",), ("b",)], "key string")
     st = {r.key: r.status for r in A.classify(found, manifest, store).collect()}
     assert st == {"a": "skipped", "b": "healed", "c": "new"}
+    resized = found.withColumn("size", found.size + 1)
+    st = {r.key: r.status for r in A.classify(resized, manifest, store, compare_size=True).collect()}
+    assert st == {"a": "changed", "b": "healed", "c": "new"}
     merged = A.merge_entries(manifest, found.filter("key != 'a'"))
     assert [r.key for r in merged.collect()] == ["a", "b", "c"]
     s = A.summarize(merged, "city").first()
