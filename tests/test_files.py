@@ -192,3 +192,22 @@ def test_strict_month_window_drops_foreign_pickups(spark, workdir):
     loose = SV.build_trips(spark, files, entries, f"{workdir}/s1").first()
     strict = SV.build_trips(spark, files, entries, f"{workdir}/s2", strict_month=True).first()
     assert (loose.expected, strict.expected) == (2, 1)
+
+
+def test_stream_ingest_picks_up_only_new_files(spark, workdir):
+    src = f"{workdir}/incoming"
+    ts1, ts2 = [dt.datetime(2016, 7, 1, 8, 0)], [dt.datetime(2016, 8, 3, 9, 0), dt.datetime(2016, 8, 4, 9, 0)]
+
+    def month_file(ts, name):
+        _write(f"{src}/{name}", pa.table({"VendorID": pa.array([1] * len(ts), pa.int32()),
+                                          "tpep_pickup_datetime": ts, "tpep_dropoff_datetime": ts,
+                                          "trip_distance": [1.0] * len(ts), "total_amount": [5.0] * len(ts)}))
+    month_file(ts1, "yellow_tripdata_2016-07.parquet")
+    schema = spark.read.parquet(src).schema
+    args = dict(raw_schema=schema, silver_base=f"{workdir}/silver", checkpoint=f"{workdir}/ckpt",
+                max_files_per_trigger=1)
+    assert STREAM.ingest(spark, src, **args) == 1
+    month_file(ts2, "yellow_tripdata_2016-08.parquet")          # arrives after the first run
+    assert STREAM.ingest(spark, src, **args) == 1                # only the new file
+    got = {(r.month, r.pickup_ts) for r in L.read_silver_trips(spark, f"{workdir}/silver").collect()}
+    assert got == {(7, ts1[0]), (8, ts2[0]), (8, ts2[1])}
