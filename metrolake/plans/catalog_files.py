@@ -101,5 +101,5 @@ def q_a8(spark, d):
     run = run_dir(spark)
     dense = M.price_histogram_dense(M.price_histogram(tl(spark, d), L_WIDTH))
     L.write_mart(dense, f"{run}/gold/price_per_km_by_zone")
-    back = spark.read.schema(dense.schema).json(f"{run}/gold/price_per_km_by_zone")
+    back = L.read_mart(spark, f"{run}/gold/price_per_km_by_zone", dense.schema)
     return back.withColumn("hist", F.to_json("hist"))

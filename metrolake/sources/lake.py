@@ -62,6 +62,14 @@ def write_mart(mart: DataFrame, path: str) -> None:
     mart.coalesce(1).write.mode("overwrite").json(path)
 
 
+def read_mart(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A mart written by ``write_mart`` (JSON lines); pass the schema to skip inference."""
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    return r.json(path)
+
+
 def dense_payload(df: DataFrame, cols) -> DataFrame:
     """Nested payload of a mart row as one JSON text column."""
     return df.select("*", F.to_json(F.struct(*cols)).alias("payload"))
