@@ -100,11 +100,18 @@ def keep_in_manifest_window(df: DataFrame, manifest_entries: DataFrame) -> DataF
     one small action and applied as literals: the filter is then constant-folded
     into every branch of the trip union instead of carrying a subquery that
     each branch would re-evaluate."""
+    bounds = manifest_bounds(manifest_entries)
+    if bounds is None:
+        return df.limit(0)
+    return keep_in_window(df, *bounds)
+
+
+def manifest_bounds(manifest_entries: DataFrame):
+    """(lo, hi) window columns from the manifest's min/max year; None when empty."""
     b = manifest_entries.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
     if b is None or b.lo is None:
-        return df.limit(0)
-    lo, hi = time_window(int(b.lo), int(b.hi))
-    return keep_in_window(df, lo, hi)
+        return None
+    return time_window(int(b.lo), int(b.hi))
 
 
 def keep_in_file_month(df: DataFrame) -> DataFrame:

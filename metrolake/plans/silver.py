@@ -44,23 +44,50 @@ def committed_partitions(spark: SparkSession, silver_base: str) -> DataFrame:
                  .filter(F.col("vehicle_type") != "").distinct())
 
 
+def file_groups(files, batch_files: int = 0) -> list[list[str]]:
+    """Split (path, vehicle_type, year, month) rows into write groups of about
+    ``batch_files`` files, never splitting the files of one partition (dynamic
+    overwrite replaces a whole partition, so all its files must be written by
+    the same job). ``batch_files`` = 0 gives a single group."""
+    by_part: dict[tuple, list[str]] = {}
+    for r in files:
+        by_part.setdefault((r.vehicle_type, r.year, r.month), []).append(r.path)
+    groups, cur = [], []
+    for key in sorted(by_part):
+        cur += sorted(by_part[key])
+        if batch_files and len(cur) >= batch_files:
+            groups.append(cur)
+            cur = []
+    if cur:
+        groups.append(cur)
+    return groups
+
+
 def build_trips(spark: SparkSession, files: DataFrame, manifest_entries: DataFrame,
                 silver_base: str, limit_batches: int = 0, strict_case: bool = False,
-                strict_month: bool = False) -> DataFrame:
+                strict_month: bool = False, batch_files: int = 0) -> DataFrame:
     """Run bronze -> silver for the discovered ``files`` (frame with path,
     vehicle_type, year, month); returns the A9 check row (expected, found, ok).
-    ``strict_month`` also drops trips whose pickup lies outside their file's month."""
+
+    ``strict_month`` also drops trips whose pickup lies outside their file's month.
+    ``batch_files`` > 0 commits the pending files in jobs of about that many
+    files (whole partitions per job), so a failure late in a very large run
+    only redoes the group that was being written; 0 writes everything in one job."""
     todo = pending_files(files, committed_partitions(spark, silver_base))
     if limit_batches:
         batches = todo.select("vehicle_type", "year").distinct().orderBy("vehicle_type", "year").limit(limit_batches)
         todo = todo.join(batches, ["vehicle_type", "year"], "left_semi")          # A21
-    paths = [r.path for r in todo.select("path").orderBy("path").collect()]     # file list only
-    if not paths:
+    listing = todo.select("path", "vehicle_type", "year", "month").collect()    # file metadata only
+    if not listing:
         return spark.createDataFrame([(0, 0, True)], "expected long, found long, ok boolean")
-    trips = N.keep_in_manifest_window(R.read_raw_trips(spark, paths, strict_case), manifest_entries)
-    if strict_month:
-        trips = N.keep_in_file_month(trips)
-    expected = L.write_silver_trips(trips, silver_base)
+    bounds = N.manifest_bounds(manifest_entries)          # read once for all groups
+    expected = 0
+    for paths in file_groups(listing, batch_files):
+        trips = R.read_raw_trips(spark, paths, strict_case)
+        trips = N.keep_in_window(trips, *bounds) if bounds is not None else trips.limit(0)
+        if strict_month:
+            trips = N.keep_in_file_month(trips)
+        expected += L.write_silver_trips(trips, silver_base)
     written = L.read_silver_trips(spark, silver_base).join(
         todo.select("vehicle_type", "year", "month").distinct(), ["vehicle_type", "year", "month"], "left_semi")
     return L.check_row(spark, expected, written)

@@ -211,3 +211,24 @@ def test_stream_ingest_picks_up_only_new_files(spark, workdir):
     assert STREAM.ingest(spark, src, **args) == 1                # only the new file
     got = {(r.month, r.pickup_ts) for r in L.read_silver_trips(spark, f"{workdir}/silver").collect()}
     assert got == {(7, ts1[0]), (8, ts2[0]), (8, ts2[1])}
+
+
+def test_silver_build_in_partition_groups_equals_single_job(spark, workdir):
+    raw_tree(f"{workdir}/raw")
+    files = R.discover_files(spark, f"{workdir}/raw")
+    entries = SV.manifest_entries_for(files, "city")
+    one = SV.build_trips(spark, files, entries, f"{workdir}/one").first()
+    grouped = SV.build_trips(spark, files, entries, f"{workdir}/grouped", batch_files=1).first()
+    assert (one.expected, one.found) == (grouped.expected, grouped.found) == (4, 4)
+    a = sorted(map(tuple, L.read_silver_trips(spark, f"{workdir}/one").collect()), key=repr)
+    b = sorted(map(tuple, L.read_silver_trips(spark, f"{workdir}/grouped").collect()), key=repr)
+    assert a == b
+
+
+def test_file_groups_keep_partitions_whole():
+    from collections import namedtuple
+    Row = namedtuple("Row", "path vehicle_type year month")
+    rows = [Row("a1", "y", 2016, 1), Row("a2", "y", 2016, 1), Row("b", "y", 2016, 2), Row("c", "g", 2016, 1)]
+    groups = SV.file_groups(rows, batch_files=1)
+    assert sorted(map(sorted, groups)) == [["a1", "a2"], ["b"], ["c"]]
+    assert SV.file_groups(rows) == [["c", "a1", "a2", "b"]]
