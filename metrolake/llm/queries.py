@@ -1,9 +1,11 @@
 """The ten registered queries opN_* and the pipeline, with their DuckDB SQL."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
 
-from metrolake.llm import sharding
+from pyspark.sql import DataFrame, SparkSession
+
+from metrolake.llm import pii, sharding, store, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -51,3 +53,20 @@ FROM seeds JOIN best USING (r) JOIN crc USING (r)
 """
 
 CATALOG["op3_rendezvous_sharding"] = (op3_rendezvous_sharding, OP3_SQL)
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal-data spans of every whole text."""
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token-id files, then summed up from the files."""
+    from public_tokenizers import path
+    out = f"{store.shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
+    tokens.write(_table(spark, sf_dir, "documents"), out, path("byte_bpe_50k.json"))
+    return tokens.summary(spark, out)
+
+
+CATALOG["op6_pii"] = (op6_pii, None)
+CATALOG["op8_token_files"] = (op8_token_files, None)
