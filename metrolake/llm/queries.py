@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolake.llm import pii, sharding, store, tokens
+from metrolake.llm import pii, quality, sharding, store, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -70,3 +70,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOG["op6_pii"] = (op6_pii, None)
 CATALOG["op8_token_files"] = (op8_token_files, None)
+
+
+def op10_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every whole text by positive-unlabelled learning."""
+    return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+CATALOG["op10_quality_pu"] = (op10_quality_pu, None)
