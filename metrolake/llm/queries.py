@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolake.llm import pii, quality, sharding, store, tokens
+from metrolake.llm import html, pii, quality, sharding, store, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -78,3 +78,11 @@ def op10_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op10_quality_pu"] = (op10_quality_pu, None)
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every whole page."""
+    return html.report(_table(spark, sf_dir, "pages"))
+
+
+CATALOG["op2_main_text"] = (op2_main_text, None)
