@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolake.llm import html, pii, quality, sharding, store, tokens
+from metrolake.llm import html, mixing, pii, quality, sharding, store, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -86,3 +86,11 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op2_main_text"] = (op2_main_text, None)
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document in a mix of all sources with weights 1, 2, 3, repeating."""
+    return mixing.Mix(_table(spark, sf_dir, "documents")).taken()
+
+
+CATALOG["op1_mixing"] = (op1_mixing, None)
