@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metrolake.llm import html, mixing, pii, quality, sharding, store, tokens
+from metrolake.llm import decontaminate, html, mixing, pii, quality, sharding, store, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -94,3 +94,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op1_mixing"] = (op1_mixing, None)
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item, with the item and the share covered."""
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+CATALOG["op5_decontaminate"] = (op5_decontaminate, None)
