@@ -18,6 +18,7 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,16 +32,17 @@ LEVEL = 3
 BLOCK_DOCS, BLOCK_BYTES = 2048, 4 << 20
 MAX_SPLITS = 4096                                   # boundaries sent to tasks
 DICT_DOCS, DICT_BYTES, DICT_CHARS = 2000, 112_640, 20_000   # bounds of the dictionary's training sample
-KEEP_PIECES = 400_000                               # encoded pieces a worker remembers
+KEEP_WORDS = 400_000                                # encoded words a worker remembers
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, remembering the pieces already seen.
+    """Ids of texts by the tokenizers library, remembering the words already seen.
 
     A byte-level pre-tokenizer never joins characters across a single space that
-    stands between two non-spaces, so a text is encoded piece by piece at those
-    spaces; texts with other space runs, or with a special token's string, go to
-    the library whole. Both ways give the same ids."""
+    stands between two non-spaces, so a text is encoded word by word at those
+    spaces, each with the space before it, and only words not yet known go to the
+    library. Texts with other runs of spaces, or with a special token's string, go
+    to it whole. Both ways give the same ids."""
 
     def __init__(self, path: str, width: int | None = None):
         from tokenizers import Tokenizer
@@ -48,23 +50,42 @@ class Encoder:
         self.width = width or (2 if self.tok.get_vocab_size() <= 1 << 16 else 4)
         self.kind = f"<u{self.width}"
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.kind).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        feed = self.tok.encode("a\nb", add_special_tokens=False)
+        self.feed = feed.ids[1] if len(feed.ids) == 3 else None         # the id of a line feed by itself
+        self.known: dict[str, bytes] = {}           # word -> ids of " " + word
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
+
+    def _parts(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Those without white space but a first space go in one call, a line
+        feed after each; its id then marks where the next one begins."""
+        plain = [p for p in pieces if p.split() == [p.removeprefix(" ")]]
+        out = {}
+        if plain:
+            ids = np.asarray(self.tok.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, self.kind)
+            at = np.flatnonzero(ids == self.feed)
+            raw, w = ids.tobytes(), self.width
+            out = {p: raw[a:b] for p, a, b in zip(plain, [0, *((at + 1) * w).tolist()], [*(at * w).tolist(), len(raw)])}
+        return [out[p] if p in out else self._whole(p) for p in pieces]
 
     def encode(self, texts: list[str], end: int) -> Iterator[bytes]:
         """Id arrays (bytes of ``width`` per id) of ``texts``, each closed by id ``end``."""
         tail = np.asarray([end], self.kind).tobytes()
-        split = [None if "  " in t or t[-1:] == " " or any(s in t for s in self.special)
-                 else [p if i == 0 else " " + p for i, p in enumerate(t.split(" "))] for t in texts]
-        if len(self.known) > KEEP_PIECES:
-            self.known.clear()
-        new = list({p for pieces in split if pieces for p in pieces if p not in self.known})
-        self.known.update(zip(new, self._whole(new)))
-        for t, pieces in zip(texts, split):
-            yield (self._whole([t])[0] if pieces is None else b"".join(map(self.known.__getitem__, pieces))) + tail
+        split = [None if self.feed is None or "  " in t or t[-1:] == " " or any(s in t for s in self.special) else t.split(" ") for t in texts]
+        firsts = self._parts([p[0] for p in split if p and p[0]])
+        new = list(set().union(*(p[1:] for p in split if p)).difference(self.known))
+        if len(self.known) + len(new) > KEEP_WORDS:             # the older half goes
+            for w in list(islice(self.known, len(self.known) // 2)):
+                del self.known[w]
+            new = list(set().union(*(p[1:] for p in split if p)).difference(self.known))
+        self.known.update(zip(new, self._parts([" " + w for w in new])))
+        first = iter(firsts)
+        for t, p in zip(texts, split):
+            if p is None:
+                yield self._whole(t) + tail
+            else:
+                yield (next(first) if p[0] else b"") + b"".join(map(self.known.__getitem__, p[1:])) + tail
 
 
 _encoders: dict[str, Encoder] = {}
@@ -77,7 +98,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _chunks(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def _chunks(texts: list[str], chars: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``chars`` code points, with the place of their first."""
     at, total = 0, 0
     for i, t in enumerate(texts):
