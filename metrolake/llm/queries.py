@@ -3,9 +3,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metrolake.llm import decontaminate, html, mixing, pii, quality, sharding, store, tokens
+from metrolake.llm import decontaminate, html, mixing, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -102,3 +102,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op5_decontaminate"] = (op5_decontaminate, None)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document under 20-word windows that start earlier elsewhere."""
+    out = substrings.deduplicate(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+                      F.size("removed").alias("n_intervals"))
+
+
+CATALOG["op4_substring_dedup"] = (op4_substring_dedup, None)

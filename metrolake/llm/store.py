@@ -3,7 +3,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 _local: dict[str, str] = {}
@@ -46,3 +49,29 @@ def offsets(df: DataFrame, group: list[str], bucket: str, value: Column, name: s
     sums = df.groupBy(*group, bucket).agg(F.sum(value).alias("_sum"))
     w = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return sums.select(*group, bucket, F.coalesce(F.sum("_sum").over(w), F.lit(0)).cast("long").alias(name))
+
+
+def gather(parts: Iterator[dict], rows: int = 50_000) -> Iterator[pd.DataFrame]:
+    """Few larger frames from many small column sets: arrays of one length, and
+    whole numbers (or null) that hold for all of the set's rows."""
+    def flush(held: list[dict]) -> pd.DataFrame:
+        out = {}
+        for name in held[0]:
+            cols = [h[name] for h in held]
+            if isinstance(cols[0], np.ndarray):
+                out[name] = np.concatenate(cols)
+            else:
+                sizes = [next(len(v) for v in h.values() if isinstance(v, np.ndarray)) for h in held]
+                none = np.repeat([pd.isna(c) for c in cols], sizes)
+                out[name] = pd.arrays.IntegerArray(np.repeat(np.array([0 if pd.isna(c) else int(c) for c in cols], np.int64), sizes), none)
+        return pd.DataFrame(out)
+
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += next(len(v) for v in part.values() if isinstance(v, np.ndarray))
+        if n >= rows:
+            yield flush(held)
+            held, n = [], 0
+    if held:
+        yield flush(held)
