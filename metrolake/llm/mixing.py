@@ -92,7 +92,7 @@ def streams(docs: DataFrame, source: str, key: str, size: str) -> DataFrame:
     """Each document's place in its source's stream: _src (source), _start (words
     before it). Order within a source is by hash bucket, key, size and text hash; the offset
     of a bucket comes from sums per bucket, so a hot source is spread."""
-    n = store.buckets_for(docs.count())
+    n = store.buckets_for(docs.count(), 4_000)
     rows = docs.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(size)), F.lit(n)).cast("int"))
     before = store.offsets(rows, [source], "_bucket", F.col(size), "_before")
     w = Window.partitionBy(source, "_bucket").orderBy(key, size, "hash").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,18 +126,22 @@ def slots(per_source: pd.DataFrame, spark, slots_each: int = SLOTS, block: int =
                 yield pd.DataFrame({"shard": int(s), "rank": np.arange(len(c), dtype=np.int32), "n": c})
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for s, r, n, first, before in b[["shard", "rank", "n", "first", "before"]].itertuples(index=False):
-                k = np.arange(first, first + n, dtype=np.int64)
-                epoch, i = k // n_blocks[r], k % n_blocks[r]
-                out = np.empty(n, np.int64)
-                for e in np.unique(epoch):
-                    at = epoch == e
-                    out[at] = permute(i[at], int(n_blocks[r]), (seed * 1_000_003 + int(r)) * 64 + int(e))
-                yield pd.DataFrame({"shard": s, "slot": np.arange(before, before + n, dtype=np.int32), "rank": np.int32(r),
-                                    "epoch": epoch.astype(np.int32), "block": out})[epoch < most]
-
-    parts = min(2048, max(1, n_shards // 4))
+        def parts() -> Iterator[dict]:
+            for b in batches:
+                for s, r, n, first, before in b[["shard", "rank", "n", "first", "before"]].itertuples(index=False):
+                    k = np.arange(first, first + n, dtype=np.int64)
+                    epoch, i = k // n_blocks[r], k % n_blocks[r]
+                    out = np.empty(n, np.int64)
+                    for e in np.unique(epoch):
+                        at = epoch == e
+                        out[at] = permute(i[at], int(n_blocks[r]), (seed * 1_000_003 + int(r)) * 64 + int(e))
+                    some = epoch < most
+                    yield {"shard": s, "slot": np.arange(before, before + n, dtype=np.int32)[some], "rank": r,
+                           "epoch": epoch.astype(np.int32)[some], "block": out[some]}
+
+        return store.gather(parts())
+
+    parts = min(2048, n_shards)
     counts = spark.range(0, n_shards, 1, parts).mapInPandas(drawn, "shard long, rank int, n long").where("n > 0") \
         .withColumn("run", F.floor(F.col("shard") / 1024))
     before = store.offsets(counts, ["rank"], "run", F.col("n"), "_before")
@@ -146,7 +150,7 @@ def slots(per_source: pd.DataFrame, spark, slots_each: int = SLOTS, block: int =
     return (counts.withColumn("first", F.coalesce(F.sum("n").over(w), F.lit(0))).join(before, ["rank", "run"])
             .withColumn("first", F.col("first") + F.col("_before"))
             .withColumn("before", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
-            .select("shard", "rank", "n", "first", "before").mapInPandas(placed, empty))
+            .select("shard", "rank", "n", "first", "before").repartition(parts, "shard").mapInPandas(placed, empty))
 
 
 def pieces(placed: DataFrame, size: str = "size", block: int = BLOCK) -> DataFrame:
