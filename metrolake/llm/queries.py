@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metrolake.llm import decontaminate, html, mixing, pii, quality, sharding, store, substrings, tokens
+from metrolake.llm import decontaminate, html, jaccard, mixing, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -112,3 +112,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op4_substring_dedup"] = (op4_substring_dedup, None)
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return jaccard.link(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+CATALOG["op9_jaccard_join"] = (op9_jaccard_join, None)
