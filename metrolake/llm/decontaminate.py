@@ -111,7 +111,7 @@ def _hits(docs: DataFrame, items: list[tuple[int, list[bytes]]], k: int) -> tupl
                 for n in lengths:
                     got = rolling(ids, n).view(np.int64)
                     p = np.flatnonzero(got)
-                    p = p[np.isin(got[p], known)] if len(p) else p
+                    p = p[known[np.searchsorted(known, got[p]).clip(max=len(known) - 1)] == got[p]]
                     if len(p):
                         yield pd.DataFrame({"k": key, "h": h, "n": np.int32(n), "p": p.astype(np.int32), "seed": got[p]})
 

@@ -130,8 +130,13 @@ def train_dictionary(df: DataFrame, text: str, path: str, end: int) -> bytes:
         return b""
 
 
-def _zdict(raw: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(raw) if raw else None
+def _zdict(raw: bytes, write: bool = False) -> zstandard.ZstdCompressionDict | None:
+    if not raw:
+        return None
+    d = zstandard.ZstdCompressionDict(raw)
+    if write:
+        d.precompute_compress(level=LEVEL)          # else every frame would build its tables anew
+    return d
 
 
 def write(df: DataFrame, out: str, path: str, key: str = "doc_id", text: str = "text", end: int = 2) -> None:
@@ -154,7 +159,7 @@ def write(df: DataFrame, out: str, path: str, key: str = "doc_id", text: str = "
         cuts = sorted(set(at.first()[0] or []))
 
     def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, cctx = encoder(path), zstandard.ZstdCompressor(LEVEL, dict_data=_zdict(raw))
+        enc, cctx = encoder(path), zstandard.ZstdCompressor(LEVEL, dict_data=_zdict(raw, write=True))
         for b in batches:
             texts = list(b["t"])
             for at, some in _chunks(texts):
