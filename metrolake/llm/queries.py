@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metrolake.llm import decontaminate, html, jaccard, mixing, pii, quality, sharding, store, substrings, tokens
+from metrolake.llm import decontaminate, html, jaccard, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -120,3 +120,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op9_jaccard_join"] = (op9_jaccard_join, None)
+
+
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest rows of every fiftieth vector, by search on an NN-descent graph."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+CATALOG["op7_nn_descent"] = (op7_nn_descent, None)
