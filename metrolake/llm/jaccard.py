@@ -1,9 +1,11 @@
 """Exact Jaccard join of word shingles with a token-group matrix.
 
 Documents with equal shingle sets form one class. Classes that can be similar
-share a signature: their tokens are dealt by hash into one segment more than
-two similar sets can differ in, so at least one segment is equal in both.
-Signatures thus part the classes into sets of similar documents.
+share a signature: their tokens are dealt by hash into more segments than two
+similar sets can differ in, so some segments are equal in both. Signatures of
+many classes (passages that many documents share) are left out for documents
+that have enough others to meet by. Signatures thus part the classes into sets
+of similar documents.
 
 Within such a set the token-group matrix decides: a group is a leader and the
 documents linked to it, its row of the matrix is the union of their tokens. A
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from metrolake.llm import graph, store
 from metrolake.llm.substrings import _mix, _raw, windows, word_hashes
@@ -27,6 +29,7 @@ NEED, OF = 90, 100                      # linked when OF * intersection >= NEED
 GROUP_TOKENS = 4_000_000                # most tokens of a set that one task compares; larger sets are spread
 PIVOTS = 64                             # documents of a larger set that are compared with all of it at once
 BROADCAST_ROWS = 2_000_000
+COMMON = 64                             # a signature of more classes is common; documents with enough others do without it
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MAX = (1 << 63) - 1
 
@@ -51,20 +54,20 @@ def levels(top: int) -> list[int]:
     return out
 
 
-def signatures(tokens: np.ndarray, need: int = NEED, of: int = OF) -> np.ndarray:
-    """Hashes, one of which at least two sets have in common if they are linked.
+def signatures(tokens: np.ndarray, need: int = NEED, of: int = OF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, level, spare): linked sets have at least spare + 1 signatures of a level in common.
 
     A pair meets at the level of its smaller set x. There |x| <= hi and
     |y| <= |x| * of / need, so the sets differ in at most D = hi * (of - need) / need
-    tokens (from OF * i >= NEED * u). Among more than D segments some are equal.
-    Empty segments are left out unless a set has so many that all the equal
-    ones might be empty."""
-    n, out = len(tokens), []
-    if not n:
-        return np.zeros(0, np.int64)
+    tokens (from OF * i >= NEED * u), and at least k - D of k segments are equal.
+    Up to k - D - 1 segments can be left out and one of the equal ones remains:
+    empty ones first, then as many as ``spare``. A set with more empty segments
+    keeps them all."""
+    n = len(tokens)
+    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
     starts = levels(n * 2)
     own = bisect_right(starts, n) - 1
-    for at in (own, own - 1):
+    for at in (own, own - 1) if n else ():
         if at < 0 or (at < own and need * n > of * (starts[own] - 1)):
             continue
         most = (starts[at + 1] - 1) * (of - need) // need
@@ -72,9 +75,13 @@ def signatures(tokens: np.ndarray, need: int = NEED, of: int = OF) -> np.ndarray
         segment = (_mix(tokens ^ np.uint64(0x1234567)) % np.uint64(k)).astype(np.int64)
         total, count = np.zeros(k, np.uint64), np.bincount(segment, minlength=k)
         np.add.at(total, segment, _mix(tokens + np.uint64(77)))
-        used = np.flatnonzero((count > 0) | ((count == 0).sum() >= k - most))
-        out.append(_mix(total[used] + np.uint64(at * 1_000_003 + 1) + used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    return np.concatenate(out).view(np.int64)
+        empty = int((count == 0).sum())
+        used = np.flatnonzero((count > 0) | (empty >= k - most))
+        spare = max(0, k - most - 1 - empty)
+        h = _mix(total[used] + np.uint64(at * 1_000_003 + 1) + used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        out.append((h, np.full(len(h), at, np.int32), np.full(len(h), spare, np.int32)))
+    h, at, spare = (np.concatenate(x) for x in zip(*out))
+    return h.view(np.int64), at, spare
 
 
 def linked(x: int, y: int, both: int, need: int = NEED, of: int = OF) -> bool:
@@ -131,7 +138,7 @@ def _decode(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint64)
 
 
-def _compare_sets(rows: DataFrame) -> DataFrame:
+def _compare_sets(rows: DataFrame, need: int, of: int) -> DataFrame:
     """(c, label) of the classes in ``rows`` (g, c, tokens); a set g is compared in one task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def parts() -> Iterator[dict]:
@@ -148,14 +155,14 @@ def _compare_sets(rows: DataFrame) -> DataFrame:
 
         def solve(held: dict) -> dict:
             cs = np.array(list(held), np.int64)
-            return {"c": cs, "label": cs[token_groups(list(held.values()))]}
+            return {"c": cs, "label": cs[token_groups(list(held.values()), need, of)]}
 
         return store.gather(parts())
 
     return rows.repartition("g").sortWithinPartitions("g").mapInPandas(run, "c long, label long")
 
 
-def _compare_large(rows: DataFrame) -> DataFrame:
+def _compare_large(rows: DataFrame, need: int, of: int) -> DataFrame:
     """(c, label) for sets too large for one task: members outside the largest
     component of their set are pivots, a bounded number at a time, and every
     member is compared with its set's pivots in a narrow pass. When all of them
@@ -185,7 +192,7 @@ def _compare_large(rows: DataFrame) -> DataFrame:
                     for pg, pc, raw in pivots:
                         if pg == g and pc != c:
                             y = _decode(raw)
-                            if linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))):
+                            if linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)), need, of):
                                 found.append((int(c), int(pc)))
                 yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -193,9 +200,9 @@ def _compare_large(rows: DataFrame) -> DataFrame:
         done = store.materialize(done.unionByName(spark.createDataFrame([(p[1],) for p in pivots], "c long")))
 
 
-def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, need: int = NEED, of: int = OF) -> DataFrame:
     """One row per input row: key, n_shingles, class_id (hash of the set), component_id
-    (least key reachable by links; a row without shingles is its own).
+    (least key reachable by links; a row without shingles is its own), text_hash.
 
     Signatures are counted with partial aggregates; those of one class only are
     dropped; the rest joins each class to its signature's least class, and the
@@ -210,7 +217,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sets = [shingles(x) for x in b["text"]]
+            sets = [shingles(x, k) for x in b["text"]]
             yield pd.DataFrame({"o": b["o"], "t": b["t"], "c": [class_of(s) for s in sets], "n": [len(s) for s in sets]})
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,21 +225,28 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             seen: set[int] = set()
             for b in batches:
                 for x in b["text"]:
-                    tokens = shingles(x)
+                    tokens = shingles(x, k)
                     c = class_of(tokens)
                     if len(tokens) and c not in seen:           # copies in one task sign once
                         seen.add(c)
-                        yield {"h": signatures(tokens), "c": c}
+                        h, at, spare = signatures(tokens, need, of)
+                        yield {"h": h, "c": c, "at": at, "spare": spare}
                 if len(seen) > 200_000:
                     seen.clear()
 
         return store.gather(parts())
 
     described = store.materialize(slim.mapInPandas(describe, "o long, t long, c long, n long"))
-    signed = slim.select("text").mapInPandas(sign, "h long, c long")
-    shared = store.materialize(signed.groupBy("h").agg(F.min("c").alias("lead"), F.max("c").alias("_hi")).where("lead < _hi").drop("_hi"))
+    signed = slim.select("text").mapInPandas(sign, "h long, c long, at int, spare int")
+    shared = store.materialize(signed.groupBy("h").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("m"))
+                               .where("_lo < _hi").select("h", (F.col("m") > COMMON).alias("common")))
     small = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
-    edges = store.materialize(signed.join(small, "h").where("c > lead").select(F.col("c").alias("a"), F.col("lead").alias("b")).distinct())
+    met = store.materialize(signed.join(small, "h").distinct())
+    spared = (met.groupBy("c", "at").agg(F.sum(F.col("common").cast("int")).alias("_n"), F.min("spare").alias("_s"))
+              .where("_n > 0 and _n <= _s").select("c", "at", F.lit(True).alias("common")))
+    met = store.materialize(met.join(spared, ["c", "at", "common"], "left_anti").select("h", "c"))
+    lead = met.groupBy("h").agg(F.min("c").alias("lead"))
+    edges = store.materialize(met.join(lead, "h").where("c > lead").select(F.col("c").alias("a"), F.col("lead").alias("b")).distinct())
     sets = graph.components(edges).select(F.col("v").alias("c"), F.col("label").alias("g"))
 
     least = described.join(sets, "c").groupBy("c", "g", "n").agg(F.min("o").alias("o"))
@@ -243,13 +257,13 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"g": b["g"], "c": b["c"], "large": b["large"], "tokens": [shingles(x).tobytes() for x in b["text"]]})
+            yield pd.DataFrame({"g": b["g"], "c": b["c"], "large": b["large"], "tokens": [shingles(x, k).tobytes() for x in b["text"]]})
 
     tokens = slim.join(side, (F.col("o") == F.col("_o")) & (F.col("t") == F.col("_t"))).select("g", "c", "large", "text") \
         .mapInPandas(read, "g long, c long, large boolean, tokens binary")
-    labels = _compare_sets(tokens.where("not large").select("g", "c", "tokens"))
+    labels = _compare_sets(tokens.where("not large").select("g", "c", "tokens"), need, of)
     if chosen.where("large").limit(1).count():
-        labels = labels.unionByName(_compare_large(tokens.where("large").select("g", "c", "tokens")))
+        labels = labels.unionByName(_compare_large(tokens.where("large").select("g", "c", "tokens"), need, of))
     labels = store.materialize(labels)
 
     firsts = described.where("n > 0").groupBy("c").agg(F.min("o").alias("first"))
@@ -260,3 +274,21 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return (described.join(named.withColumn("_c", F.col("c")).drop("c"), (F.col("c") == F.col("_c")) & (F.col("n") > 0), "left")
             .withColumn("component_id", F.coalesce("component_id", "o"))
             .select(none("o").alias(key), F.col("n").alias("n_shingles"), F.col("c").alias("class_id"), none("component_id").alias("component_id"), F.col("t").alias("text_hash")))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns kept, with one row of each component: that of the
+    least key (then least text hash; of repeated rows any one). Only the keys of rows
+    that go, or that are repeated, are joined to the texts."""
+    linked_rows = store.materialize(link(docs, key, text, **options).select(F.coalesce(key, F.lit(_MAX)).alias("o"), F.col("text_hash").alias("t"),
+                                                                            F.coalesce("component_id", F.lit(_MAX)).alias("g"), F.col("n_shingles").alias("n")))
+    some, none = linked_rows.where("n > 0"), linked_rows.where("n = 0")
+    first = some.where("o = g").groupBy("g").agg(F.min("t").alias("_t"))
+    gone = some.join(first, "g").where("not (o = g and t <=> _t)").select("o", "t", F.lit(False).alias("again")).distinct()
+    again = none.unionByName(some).groupBy("o", "t").agg(F.count("*").alias("m")).where("m > 1").select("o", "t", F.lit(True).alias("again"))
+    marked = store.materialize(again.join(gone, ["o", "t"], "left_anti").unionByName(gone))
+    side = (F.broadcast(marked) if marked.count() <= BROADCAST_ROWS else marked).toDF("_o", "_t", "_again")
+    whole = docs.withColumn("_ko", F.coalesce(F.col(key).cast("long"), F.lit(_MAX))).withColumn("_kt", F.xxhash64(F.col(text).cast("string")))
+    joined = whole.join(side, (F.col("_ko") == F.col("_o")) & (F.col("_kt") == F.col("_t")), "left")
+    once = joined.where("_again").withColumn("_nth", F.row_number().over(Window.partitionBy("_ko", "_kt").orderBy(F.lit(0)))).where("_nth = 1")
+    return joined.where("_again is null").select(*docs.columns).unionByName(once.select(*docs.columns))
