@@ -5,6 +5,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from metrolake.llm import decontaminate, html, jaccard, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
@@ -128,3 +129,4 @@ def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG["op7_nn_descent"] = (op7_nn_descent, None)
+CATALOG["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
