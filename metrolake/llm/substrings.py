@@ -7,12 +7,14 @@ texts that ships only small rows:
 1. Each window has a minimizer, its least hash of ``GRAM`` words; equal windows
    have equal minimizers. Counting minimizers (one row for about eight windows)
    finds those that occur twice; other windows cannot repeat.
-2. The places of repeated minimizers go back to their documents.
-3. Only windows over those places are hashed (96 bits), and the least key of
-   each window is found by a partial aggregate, so a passage that stands in
-   every document makes no large group.
-4. Windows with a smaller key elsewhere, and later ones in the same document,
-   are merged into maximal intervals of words to remove.
+2. The places of repeated minimizers go back to their documents, which get
+   numbers in key order.
+3. Only windows over those places are hashed (96 bits). All but the first of
+   equal ones are found by a sort of the rows of a window; windows that can be
+   in more than ``HOT`` documents, as their minimizer's count tells, take their
+   least document by a partial aggregate instead, so no group is large.
+4. Windows with a smaller document elsewhere, and later ones in the same
+   document, are merged into maximal intervals of words to remove.
 """
 from __future__ import annotations
 
@@ -20,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from metrolake.llm import store
 
 WINDOW, GRAM = 20, 6
+HOT = 10_000
 BROADCAST_BYTES = 64 << 20              # per-document places above this are joined by shuffle
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -106,16 +109,17 @@ def _slim(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """Documents with their array of places; broadcast only below a checked size."""
+    """Documents with the number and array of places of those that have some; broadcast only below a checked size."""
     size = places.agg(F.sum(F.size("at") * 4 + 64)).first()[0] or 0
     side = F.broadcast(places) if size <= BROADCAST_BYTES else places
-    side = side.select(F.col("k").alias("_k"), F.col("t").alias("_t"), "at")
-    return docs.join(side, docs["k"].eqNullSafe(F.col("_k")) & docs["t"].eqNullSafe(F.col("_t")), "left").select("k", "t", "text", "at")
+    side = side.select(F.col("k").alias("_k"), F.col("t").alias("_t"), "d", "at")
+    return docs.join(side, docs["k"].eqNullSafe(F.col("_k")) & docs["t"].eqNullSafe(F.col("_t")), "left").select("k", "text", "d", "at")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """For each document (k, t) the array ``at`` of first starts of its windows that
-    also occur under a smaller key. ``docs`` has k, t (text hash) and text."""
+    """(k, t, d, at) for each document with windows that also occur in an earlier one:
+    at holds runs of first starts, as start, end, start, end and so on. ``docs`` has
+    k, t (text hash) and text."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [np.zeros(0, np.uint64)]
@@ -138,33 +142,54 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def parts() -> Iterator[dict]:
             for b in batches:
-                for k, t, text, places in zip(b["k"], b["t"], b["text"], b["at"]):
-                    words = word_hashes(_raw(text))
+                for d, text, places in zip(b["d"], b["text"], b["at"]):
+                    words, places = word_hashes(_raw(text)), np.asarray(places, np.int64)
                     _, least = minimizers(words, window, gram)
-                    start = np.flatnonzero(np.isin(least, np.asarray(places, np.int64)))
+                    hot = np.isin(least, -1 - places[places < 0])
+                    start = np.flatnonzero(hot | np.isin(least, places))
                     h, c = _two(words, window)
                     start = start[_first(h[start], c[start])[0]]
-                    yield {"h": h[start], "c": c[start], "k": k, "t": t, "s": start.astype(np.int32)}
+                    yield {"h": h[start], "c": c[start], "d": d, "s": start.astype(np.int32), "hot": hot[start]}
 
         return store.gather(parts())
 
-    twice = store.materialize(docs.select("text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"))
-    slim = "h long, k long, t long, p int"
-    places = store.materialize(docs.mapInPandas(place, slim).join(twice, "h", "left_semi").groupBy("k", "t").agg(F.collect_list("p").alias("at")))
-    rows = (_with_places(docs, places).where("at is not null").mapInPandas(hashed, "h long, c int, k long, t long, s int")
-            .withColumn("o", F.coalesce(F.col("k"), F.lit(-(1 << 63)))))
-    first = rows.groupBy("h", "c").agg(F.min("o").alias("_lo"), F.max("o").alias("_hi")).where("_lo < _hi").drop("_hi")
-    return store.materialize(rows.join(first, ["h", "c"]).where("o > _lo").groupBy("k", "t").agg(F.collect_list("s").alias("at")))
-
-
-def intervals(words: np.ndarray, known: np.ndarray, window: int) -> list[tuple[int, int]]:
+    @F.pandas_udf("array<int>")
+    def runs(starts: pd.Series) -> pd.Series:
+        out = []
+        for s in starts:
+            s = np.sort(np.asarray(s, np.int32))
+            cut = np.flatnonzero(np.diff(s) != 1)
+            out.append(np.stack([s[np.r_[0, cut + 1]], s[np.r_[cut, len(s) - 1]] + 1], axis=1).ravel())
+        return pd.Series(out, dtype=object)
+
+    twice = store.materialize(docs.select("text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+                              .where("n > 1").select("h", (F.col("n") > HOT).alias("hot")))
+    found = docs.mapInPandas(place, "h long, k long, t long, p int").join(twice, "h")
+    places = store.materialize(found.groupBy("k", "t").agg(F.collect_list(F.when(F.col("hot"), -1 - F.col("p")).otherwise(F.col("p"))).alias("at")))
+    n = store.buckets_for(places.count(), 50_000)
+    places = store.materialize(places.repartitionByRange(n, F.asc_nulls_first("k"), "t").sortWithinPartitions(F.asc_nulls_first("k"), "t")
+                               .withColumn("d", F.monotonically_increasing_id()))
+    rows = store.materialize(_with_places(docs, places).where("d is not null").select("d", "text", "at")
+                             .mapInPandas(hashed, "h long, c int, d long, s int, hot boolean"))
+    few, many = rows.where("not hot"), rows.where("hot")
+    later = few.withColumn("nth", F.row_number().over(Window.partitionBy("h", "c").orderBy("d"))).where("nth > 1").select("d", "s")
+    least = many.groupBy("h", "c").agg(F.min("d").alias("_least"))
+    later = later.unionByName(many.join(least, ["h", "c"]).where("d > _least").select("d", "s"))
+    at = later.groupBy("d").agg(F.collect_list("s").alias("s")).select("d", runs("s").alias("at"))
+    return store.materialize(at.join(places.select("k", "t", "d"), "d"))
+
+
+def intervals(words: np.ndarray, known: list[int], window: int) -> list[tuple[int, int]]:
     """Maximal [start, end) runs of words under windows that repeat: those whose first
-    start in the document is in ``known``, and every start after a window's first."""
+    start in the document is in the runs ``known``, and every start after a window's first."""
     h, c = _two(words, window)
     if not len(h):
         return []
     _, origin = _first(h, c)
-    start = np.flatnonzero((origin != np.arange(len(h))) | np.isin(origin, known))
+    earlier = np.zeros(len(h) + 1, np.int64)
+    np.add.at(earlier, np.asarray(known[0::2], np.int64), 1)
+    np.add.at(earlier, np.asarray(known[1::2], np.int64), -1)
+    start = np.flatnonzero((origin != np.arange(len(h))) | (np.cumsum(earlier)[origin] > 0))
     out: list[tuple[int, int]] = []
     for s in start.tolist():
         if out and s <= out[-1][1]:
@@ -189,8 +214,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
 
     Windows are judged on the input. Null and empty texts have no words; texts
     shorter than a window lose nothing; a null key comes before all others; rows
-    with equal key and text are one document, and rows that share only the key do
-    not remove each other's words; other columns are ignored."""
+    with equal key and text are one document, rows that share only the key come
+    in the order of their text hashes; other columns are ignored."""
     slim = _slim(docs, key, text)
     found = _with_places(slim, repeats(slim, window, gram))
 
@@ -199,7 +224,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", window
             rows = []
             for k, text, at in zip(b["k"], b["text"], b["at"]):
                 raw = _raw(text)
-                cut = intervals(word_hashes(raw), np.asarray([] if at is None else at, np.int64), window)
+                cut = intervals(word_hashes(raw), [] if at is None else at, window)
                 n, kept = kept_words(raw, cut)
                 rows.append((None if pd.isna(k) else int(k), n, sum(e - s for s, e in cut), b" ".join(kept).decode("utf-8", "surrogatepass"),
                              [list(c) for c in cut]))
