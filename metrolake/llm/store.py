@@ -4,6 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While an action runs inside, tasks hand at most ``rows`` rows at a time to Python;
+    the caller's setting is put back afterwards. For passes over whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def buckets_for(n_rows: int, rows_each: int = 20_000) -> int:
     """Number of hash buckets that keep about ``rows_each`` rows in each."""
     return max(1, -(-n_rows // rows_each))

@@ -18,7 +18,6 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -26,13 +25,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from metrolake.llm import store
+from metrolake.llm.substrings import _mix, powers
 
 MAGIC, VERSION, HEAD, ENTRY = b"TIDS", 1, "<4sHH32sI", "<QI"
 LEVEL = 3
-BLOCK_DOCS, BLOCK_BYTES = 2048, 4 << 20
+BLOCK_DOCS, BLOCK_BYTES = 1024, 2 << 20
 MAX_SPLITS = 4096                                   # boundaries sent to tasks
 DICT_DOCS, DICT_BYTES, DICT_CHARS = 2000, 112_640, 20_000   # bounds of the dictionary's training sample
-KEEP_WORDS = 400_000                                # encoded words a worker remembers
+KEEP_WORDS = 1_000_000                              # encoded words a worker remembers, 40 bytes each
 
 
 class Encoder:
@@ -42,7 +42,11 @@ class Encoder:
     stands between two non-spaces, so a text is encoded word by word at those
     spaces, each with the space before it, and only words not yet known go to the
     library. Texts with other runs of spaces, or with a special token's string, go
-    to it whole. Both ways give the same ids."""
+    to it whole. Both ways give the same ids.
+
+    Known words are sorted arrays (hash, first eight bytes, length, place and
+    number of ids), looked up and gathered for many texts at once. Where hash and
+    first bytes disagree, the texts go to the library whole."""
 
     def __init__(self, path: str, width: int | None = None):
         from tokenizers import Tokenizer
@@ -52,40 +56,92 @@ class Encoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         feed = self.tok.encode("a\nb", add_special_tokens=False)
         self.feed = feed.ids[1] if len(feed.ids) == 3 else None         # the id of a line feed by itself
-        self.known: dict[str, bytes] = {}           # word -> ids of " " + word
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hash, self.head = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.size, self.at, self.n = (np.zeros(0, np.int64) for _ in range(3))
+        self.pool = np.zeros(0, self.kind)
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
 
     def _parts(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece. Those without white space but a first space go in one call, a line
-        feed after each; its id then marks where the next one begins."""
-        plain = [p for p in pieces if p.split() == [p.removeprefix(" ")]]
-        out = {}
-        if plain:
-            ids = np.asarray(self.tok.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, self.kind)
+        """Ids of each piece. Those without white space but a first space go in one call, a
+        line feed after each; its id then marks where the next one begins."""
+        out: dict[str, bytes] = {}
+        plain = [p for p in dict.fromkeys(pieces) if p.split() == [p.removeprefix(" ")]]
+        for some in (plain[i:i + 20_000] for i in range(0, len(plain), 20_000)):
+            ids = np.asarray(self.tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, self.kind)
             at = np.flatnonzero(ids == self.feed)
             raw, w = ids.tobytes(), self.width
-            out = {p: raw[a:b] for p, a, b in zip(plain, [0, *((at + 1) * w).tolist()], [*(at * w).tolist(), len(raw)])}
+            out.update((p, raw[a:b]) for p, a, b in zip(some, [0, *((at + 1) * w).tolist()], [*(at * w).tolist(), len(raw)]))
         return [out[p] if p in out else self._whole(p) for p in pieces]
 
+    def _learn(self, words: list[str], h: np.ndarray, head: np.ndarray, size: np.ndarray) -> None:
+        if len(self.hash) + len(words) > KEEP_WORDS:
+            self._forget()
+        got = self._parts([" " + w for w in words])
+        n = np.array([len(g) // self.width for g in got], np.int64)
+        at = len(self.pool) + np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(got), self.kind)])
+        order = np.argsort(merged := np.concatenate([self.hash, h]), kind="stable")
+        self.hash = merged[order]
+        for name, new in (("head", head), ("size", size), ("at", at), ("n", n)):
+            setattr(self, name, np.concatenate([getattr(self, name), new])[order])
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.hash, h).clip(max=max(0, len(self.hash) - 1))
+
+    def _joined(self, texts: list[str], tail: bytes) -> list[bytes] | None:
+        """Ids of texts that split at single spaces; None if two words' hashes collide."""
+        firsts = self._parts([t.partition(" ")[0] for t in texts])
+        raws = [t.encode("utf-8", "surrogatepass").partition(b" ")[2] for t in texts]
+        h, head, size, begin, blobs = [], [], [], [], b" ".join(raws)
+        b = np.frombuffer(blobs, np.uint8)
+        counts = np.array([r.count(b" ") + 1 if r else 0 for r in raws], np.int64)
+        end = np.append(np.flatnonzero(b == 32), len(b))
+        begin = np.concatenate([[0], end[:-1] + 1])
+        keep = end > begin                                              # texts of one word leave empty places
+        begin, end = begin[keep], end[keep]
+        if not len(begin):
+            return [f + tail for f in firsts]
+        up, down = powers(len(b))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
+        size = end - begin
+        h = _mix((sums[end] - sums[begin]) * down[begin] + size.astype(np.uint64))
+        padded, head = np.append(b, np.zeros(8, np.uint8)), np.zeros(len(h), np.uint64)
+        for i in range(8):
+            head |= np.where(size > i, padded[begin + i], 0).astype(np.uint64) << np.uint64(8 * i)
+        unique, first, same = np.unique(h, return_index=True, return_inverse=True)
+        found = self._find(unique)
+        new = np.flatnonzero(self.hash[found] != unique) if len(self.hash) else np.arange(len(unique))
+        if len(self.hash) + len(new) > KEEP_WORDS:
+            self._forget()
+            new = np.arange(len(unique))
+        if len(new):
+            f = first[new]
+            self._learn([blobs[x:y].decode("utf-8", "surrogatepass") for x, y in zip(begin[f].tolist(), end[f].tolist())], unique[new], head[f], size[f])
+        at = self._find(unique)[same.reshape(-1)]
+        if not (np.array_equal(self.head[at], head) and np.array_equal(self.size[at], size)):
+            return None
+        n = self.n[at]
+        stop = np.cumsum(n)
+        ids = self.pool[np.arange(stop[-1]) + np.repeat(self.at[at] - (stop - n), n)]
+        cut = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(counts)])]
+        return [f + ids[x:y].tobytes() + tail for f, x, y in zip(firsts, cut[:-1].tolist(), cut[1:].tolist())]
+
     def encode(self, texts: list[str], end: int) -> Iterator[bytes]:
         """Id arrays (bytes of ``width`` per id) of ``texts``, each closed by id ``end``."""
         tail = np.asarray([end], self.kind).tobytes()
-        split = [None if self.feed is None or "  " in t or t[-1:] == " " or any(s in t for s in self.special) else t.split(" ") for t in texts]
-        firsts = self._parts([p[0] for p in split if p and p[0]])
-        new = list(set().union(*(p[1:] for p in split if p)).difference(self.known))
-        if len(self.known) + len(new) > KEEP_WORDS:             # the older half goes
-            for w in list(islice(self.known, len(self.known) // 2)):
-                del self.known[w]
-            new = list(set().union(*(p[1:] for p in split if p)).difference(self.known))
-        self.known.update(zip(new, self._parts([" " + w for w in new])))
-        first = iter(firsts)
-        for t, p in zip(texts, split):
-            if p is None:
-                yield self._whole(t) + tail
-            else:
-                yield (next(first) if p[0] else b"") + b"".join(map(self.known.__getitem__, p[1:])) + tail
+        plain = [self.feed is not None and "  " not in t and t[-1:] != " " and not any(s in t for s in self.special) for t in texts]
+        some = [t for t, p in zip(texts, plain) if p]
+        joined = self._joined(some, tail) if some else []
+        if joined is None:
+            plain = [False] * len(texts)
+        of_plain = iter(joined or ())
+        for t, p in zip(texts, plain):
+            yield next(of_plain) if p else self._whole(t) + tail
 
 
 _encoders: dict[str, Encoder] = {}
@@ -98,7 +154,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _chunks(texts: list[str], chars: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
+def forget() -> None:
+    """Drop the worker's encoders."""
+    _encoders.clear()
+
+
+def _chunks(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``chars`` code points, with the place of their first."""
     at, total = 0, 0
     for i, t in enumerate(texts):
@@ -192,10 +253,11 @@ def write(df: DataFrame, out: str, path: str, key: str = "doc_id", text: str = "
 
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     slim = df.select(F.col(key).cast("long").alias("k"), t.alias("t"), F.xxhash64(t).alias("h"))
-    (slim.mapInPandas(frames, "split int, k long, h long, n long, frame binary")
-     .repartition(len(cuts) + 1, "split").sortWithinPartitions("split", F.asc_nulls_first("k"), "h")
-     .mapInPandas(blocks, "split int, number int, ids long, keys array<long>, block binary")
-     .write.parquet(f"{out}/blocks"))
+    packed = (slim.mapInPandas(frames, "split int, k long, h long, n long, frame binary")
+              .repartition(len(cuts) + 1, "split").sortWithinPartitions("split", F.asc_nulls_first("k"), "h")
+              .mapInPandas(blocks, "split int, number int, ids long, keys array<long>, block binary"))
+    with store.small_batches(spark):
+        packed.write.parquet(f"{out}/blocks")
     spark.createDataFrame([(digest, raw, path.rsplit("/", 1)[-1], end)], "sha256 binary, body binary, vocabulary string, end int") \
         .coalesce(1).write.parquet(f"{out}/dictionary")
 
@@ -250,6 +312,7 @@ def summary(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame:
         .select("split", "number", (F.col("_a") + F.col("_b")).alias("first"))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for b in batches:
             for split, number, keys, block in zip(b["split"], b["number"], b["keys"], b["block"]):
                 size, crc = [], []
