@@ -155,9 +155,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents, with all their columns, that cover no test item. The list of
     contaminated documents is broadcast only up to ``BROADCAST_ROWS`` rows."""
-    bad = matches(docs, benchmark, key, text, **options).select(F.col("doc_id").alias("_bad"), F.col("hash").alias("_hash")).distinct()
+    bad = matches(docs, benchmark, key, text, **options).select(F.col("doc_id").alias("__bad_key"), F.col("hash").alias("__bad_hash")).distinct()
     bad = store.materialize(bad)
     if bad.count() <= BROADCAST_ROWS:
         bad = F.broadcast(bad)
-    same = F.col(key).cast("long").eqNullSafe(F.col("_bad")) & (F.xxhash64(F.col(text).cast("string")) == F.col("_hash"))
+    same = F.col(key).cast("long").eqNullSafe(F.col("__bad_key")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__bad_hash"))
     return docs.join(bad, same, "left_anti")

@@ -287,8 +287,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     gone = some.join(first, "g").where("not (o = g and t <=> _t)").select("o", "t", F.lit(False).alias("again")).distinct()
     again = none.unionByName(some).groupBy("o", "t").agg(F.count("*").alias("m")).where("m > 1").select("o", "t", F.lit(True).alias("again"))
     marked = store.materialize(again.join(gone, ["o", "t"], "left_anti").unionByName(gone))
-    side = (F.broadcast(marked) if marked.count() <= BROADCAST_ROWS else marked).toDF("_o", "_t", "_again")
-    whole = docs.withColumn("_ko", F.coalesce(F.col(key).cast("long"), F.lit(_MAX))).withColumn("_kt", F.xxhash64(F.col(text).cast("string")))
-    joined = whole.join(side, (F.col("_ko") == F.col("_o")) & (F.col("_kt") == F.col("_t")), "left")
-    once = joined.where("_again").withColumn("_nth", F.row_number().over(Window.partitionBy("_ko", "_kt").orderBy(F.lit(0)))).where("_nth = 1")
-    return joined.where("_again is null").select(*docs.columns).unionByName(once.select(*docs.columns))
+    side = (F.broadcast(marked) if marked.count() <= BROADCAST_ROWS else marked).toDF("__kn_o", "__kn_t", "__kn_again")
+    whole = docs.withColumn("__kn_ko", F.coalesce(F.col(key).cast("long"), F.lit(_MAX))).withColumn("__kn_kt", F.xxhash64(F.col(text).cast("string")))
+    joined = whole.join(side, (F.col("__kn_ko") == F.col("__kn_o")) & (F.col("__kn_kt") == F.col("__kn_t")), "left")
+    once = joined.where("__kn_again").withColumn("__kn_nth", F.row_number().over(Window.partitionBy("__kn_ko", "__kn_kt").orderBy(F.lit(0)))).where("__kn_nth = 1")
+    return joined.where("__kn_again is null").select(*docs.columns).unionByName(once.select(*docs.columns))

@@ -223,19 +223,19 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     are not in the mix."""
     mix = Mix(docs, key, text, source, **options)
     ids = ["doc_id", "hash", "source", "nth"]
-    ranges = mix.blocks().groupBy(*ids, "epoch").agg(F.collect_list(F.struct("at", "n")).alias("_ranges")).drop("epoch")
-    ranges = ranges.toDF(*[f"_m_{c}" for c in ids], "_ranges")
+    ranges = mix.blocks().groupBy(*ids, "epoch").agg(F.collect_list(F.struct("at", "n")).alias("__mix_ranges")).drop("epoch")
+    ranges = ranges.toDF(*[f"__mix_{c}" for c in ids], "__mix_ranges")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
         return pd.Series([_cut(t, [(r["at"], r["n"]) for r in rs]) for t, rs in zip(texts, ranges)], dtype=object)
 
     h = F.xxhash64(F.col(text).cast("string"))
-    whole = docs.withColumn("_hash", h).withColumn("_nth", F.row_number().over(
-        Window.partitionBy(key, "_hash", source).orderBy(F.lit(0))))
-    same = (F.col(key).cast("string").eqNullSafe(F.col("_m_doc_id").cast("string")) & (F.col("_hash") == F.col("_m_hash"))
-            & F.col(source).cast("string").eqNullSafe(F.col("_m_source")) & (F.col("_nth") == F.col("_m_nth")))
-    out = whole.join(ranges, same).withColumn(text, cut(F.col(text).cast("string"), F.col("_ranges")))
+    whole = docs.withColumn("__own_hash", h).withColumn("__own_nth", F.row_number().over(
+        Window.partitionBy(key, "__own_hash", source).orderBy(F.lit(0))))
+    same = (F.col(key).cast("string").eqNullSafe(F.col("__mix_doc_id").cast("string")) & (F.col("__own_hash") == F.col("__mix_hash"))
+            & F.col(source).cast("string").eqNullSafe(F.col("__mix_source")) & (F.col("__own_nth") == F.col("__mix_nth")))
+    out = whole.join(ranges, same).withColumn(text, cut(F.col(text).cast("string"), F.col("__mix_ranges")))
     if chars and chars in docs.columns:
         out = out.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     return out.select(*docs.columns)

@@ -157,8 +157,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     def runs(starts: pd.Series) -> pd.Series:
         out = []
         for s in starts:
-            s = np.sort(np.asarray(s, np.int32))
-            cut = np.flatnonzero(np.diff(s) != 1)
+            s = np.unique(np.asarray(s, np.int32))
+            cut = np.flatnonzero(np.diff(s) > 1)
             out.append(np.stack([s[np.r_[0, cut + 1]], s[np.r_[cut, len(s) - 1]] + 1], axis=1).ravel())
         return pd.Series(out, dtype=object)
 
@@ -172,7 +172,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     rows = store.materialize(_with_places(docs, places).where("d is not null").select("d", "text", "at")
                              .mapInPandas(hashed, "h long, c int, d long, s int, hot boolean"))
     few, many = rows.where("not hot"), rows.where("hot")
-    later = few.withColumn("nth", F.row_number().over(Window.partitionBy("h", "c").orderBy("d"))).where("nth > 1").select("d", "s")
+    later = few.withColumn("nth", F.rank().over(Window.partitionBy("h", "c").orderBy("d"))).where("nth > 1").select("d", "s")
     least = many.groupBy("h", "c").agg(F.min("d").alias("_least"))
     later = later.unionByName(many.join(least, ["h", "c"]).where("d > _least").select("d", "s"))
     at = later.groupBy("d").agg(F.collect_list("s").alias("s")).select("d", runs("s").alias("at"))
