@@ -15,11 +15,6 @@ from metrolake.schemas import MANIFEST_SCHEMA  # noqa: F401  (re-exported)
 ENTRY_COLS = ["key", "size", "vehicle_type", "year", "month"]
 
 
-def read_manifests(spark: SparkSession, manifest_dir: str) -> DataFrame:
-    """All manifest documents under ``manifest_dir`` (one JSON object per file)."""
-    return spark.read.schema(MANIFEST_SCHEMA).json(manifest_dir)
-
-
 def select_kind(manifests: DataFrame, kind: str = "trips") -> DataFrame:
     """Manifests of one kind."""
     return manifests.filter(F.col("kind") == kind)
@@ -62,10 +57,12 @@ def new_files(discovered: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def merge_entries(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Upsert by key, the new entry wins, sorted by key."""
-    o = old.select(*ENTRY_COLS, F.lit(0).alias("_p"))
-    n = new.select(*ENTRY_COLS, F.lit(1).alias("_p"))
-    best = F.max_by(F.struct(*ENTRY_COLS), F.col("_p")).alias("_e")
+    """Upsert by key, the new entry wins, sorted by key. Where ``old`` has several
+    entries of a key, the latest run's (column ``run``, if there is one) and then the largest wins."""
+    run = F.col("run") if "run" in old.columns else F.lit(0)
+    o = old.select(*ENTRY_COLS, F.lit(0).alias("_p"), run.cast("long").alias("_run"))
+    n = new.select(*ENTRY_COLS, F.lit(1).alias("_p"), F.lit(0).cast("long").alias("_run"))
+    best = F.max_by(F.struct(*ENTRY_COLS), F.struct("_p", "_run", "size", "vehicle_type", "year", "month")).alias("_e")
     return (o.unionByName(n).groupBy("key").agg(best)
              .select(*[F.col(f"_e.{c}").alias(c) for c in ENTRY_COLS]).orderBy("key"))
 
@@ -129,13 +126,6 @@ def committed_batches(paths: DataFrame) -> DataFrame:
                  .filter(F.col("vehicle_type") != "").distinct())
 
 
-def committed_batches_from_listing(spark: SparkSession, silver_base: str) -> DataFrame:
-    """A19 over a real silver table: file listing only, no data read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(silver_base).select("path"))
-    return committed_batches(files)
-
-
 def resume_plan(entries_df: DataFrame, committed: DataFrame,
                 keys=("vehicle_type", "year")) -> DataFrame:
     """Group entries into batches, mark committed batches ``skipped`` and the

@@ -32,18 +32,22 @@ def pick_source(columns, candidates, strict_case: bool = False) -> str | None:
     return next((lower[c.lower()] for c in candidates if c.lower() in lower), None)
 
 
-def canonical_column(raw_columns, name: str, dtype: T.DataType, aliases, legacy: bool,
-                     strict_case: bool = False, ts_format: str = K.LEGACY_TS_FORMAT) -> Column:
-    """One canonical column: chosen source, typed NULL when absent,
-    legacy string timestamps parsed, everything cast without failing on dirty values."""
-    src = pick_source(raw_columns, aliases.get(name, []), strict_case)
+def canonical_column(raw: T.StructType, name: str, dtype: T.DataType, aliases, strict_case: bool = False,
+                     ts_format: str = K.LEGACY_TS_FORMAT) -> Column:
+    """One canonical column: chosen source, typed NULL when absent, everything
+    cast without failing on dirty values. Times by their raw type: text is parsed,
+    an instant is taken as its UTC wall clock, whatever the session's zone."""
+    src = pick_source(raw.names, aliases.get(name, []), strict_case)
     if src is None:
         return F.lit(None).cast(dtype).alias(name)                      # B3
     c = F.col(f"`{src}`")
     if isinstance(dtype, T.TimestampNTZType):
-        if legacy:
+        if isinstance(raw[src].dataType, T.StringType):
             c = parse_wall_clock(c, ts_format)                          # B5
-        return c.cast("timestamp_ntz").alias(name)
+        elif isinstance(raw[src].dataType, T.TimestampType):
+            seconds = (F.unix_micros(c).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+            c = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+        return c.try_cast("timestamp_ntz").alias(name)
     return c.try_cast(dtype).alias(name)                                # B4
 
 
@@ -54,16 +58,10 @@ def normalize(raw: DataFrame, aliases: dict | None = None, strict_case: bool = F
     cols = raw.columns
     legacy = is_legacy(cols, strict_case=strict_case)
     amap = aliases or (K.LEGACY_ALIASES if legacy else K.MODERN_ALIASES)
-    out = [canonical_column(cols, n, t, amap, legacy, strict_case) for n, t in CANONICAL_COLUMNS]
+    out = [canonical_column(raw.schema, n, t, amap, strict_case) for n, t in CANONICAL_COLUMNS]
     return raw.select(*out, *[F.col(k) for k in (keep or [])])
 
 
-def tag_literals(df: DataFrame, vehicle_type: str, year: int, month: int) -> DataFrame:
-    """Partition tags of a single file as literals."""
-    return df.select("*", F.lit(vehicle_type).alias("vehicle_type"),
-                     F.lit(int(year)).alias("year"), F.lit(int(month)).alias("month"))
-
-
 def tag_from_file_name(df: DataFrame, name_col: Column | None = None,
                        pattern: str = K.TRIP_FILE_PATTERN) -> DataFrame:
     """Partition tags parsed from each row's source file name
@@ -118,8 +116,3 @@ def keep_in_file_month(df: DataFrame) -> DataFrame:
     """Optional strict window (Q1): keep trips whose pickup falls in the month
     their file is named after (partition tags ``year``/``month``)."""
     return df.filter((F.year("pickup_ts") == F.col("year")) & (F.month("pickup_ts") == F.col("month")))
-
-
-def drop_path_columns(df: DataFrame, cols=("vehicle_type", "year")) -> DataFrame:
-    """Drop columns encoded in the output path."""
-    return df.drop(*cols)

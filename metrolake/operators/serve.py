@@ -184,8 +184,8 @@ def surcharges_present(surcharge_mart: DataFrame, surcharges=K.SURCHARGES) -> Da
 # --- D15-D18: flows -------------------------------------------------------------------
 
 def links_between_nodes(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links whose both ends are top nodes (k rows: broadcast after the size check)."""
-    ids = broadcast_bounded(nodes.select(F.col("id").alias("_id")), MAX_DIMENSION_ROWS)
+    """Links whose both ends are top nodes (``nodes`` is a top-k list, so it may be broadcast)."""
+    ids = F.broadcast(nodes.select(F.col("id").alias("_id")))
     return (links.join(ids, F.col("source") == F.col("_id"), "left_semi")
                  .join(ids, F.col("target") == F.col("_id"), "left_semi"))
 

@@ -189,7 +189,8 @@ def _metric_sql(metric):
 
 def _metric_query(metric):
     def q(spark, d):
-        return D.zone_metric(_zone_agg(spark, d), _rain(spark, d), metric)
+        rain = _rain(spark, d) if metric in ("pluie", "ratio_pluie") else None      # the others need no weather
+        return D.zone_metric(_zone_agg(spark, d), rain, metric)
     return q
 
 

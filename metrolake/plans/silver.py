@@ -1,13 +1,13 @@
 """Bronze -> silver as one plan per run.
 
-Pending files (manifest entries whose (vehicle, year, month) partition is not
-committed yet) are scanned once per schema fingerprint, normalized, unioned,
-filtered to the manifest's time window and written with dynamic partition
-overwrite. Every step is narrow (no shuffle): a run costs one read of the
-pending raw files and one write; the row count for the write check is
-observed during that write, not recomputed. A re-run after a crash redoes only
-the partitions that were not committed, and overwriting a partition is
-idempotent.
+A file is pending until it is recorded, by path and size, in the table of
+committed files beside the silver table. Every partition (vehicle, year, month)
+with a pending file is rebuilt from all its files: they are scanned once per
+schema fingerprint, normalized, unioned, filtered to the manifest's time window
+and written with dynamic partition overwrite. So a late or a changed file never
+loses the rows of the others, and a re-run after a crash redoes only what was
+not recorded. Every step is narrow (no shuffle): a run costs one read of the
+files concerned and one write; the rows are counted during that write.
 """
 from __future__ import annotations
 
@@ -15,33 +15,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metrolake.operators import manifest as A
 from metrolake.operators import normalize as N
-from metrolake.operators.weather import dedupe_hours
 from metrolake.sources import lake as L
 from metrolake.sources import raw as R
 
-RESUME_KEYS = ("vehicle_type", "year", "month")
+COMMITTED_SCHEMA = "path string, size long, vehicle_type string, year int, month int"
+PARTITION_KEYS = ["vehicle_type", "year", "month"]
 
 
-def pending_files(files: DataFrame, committed: DataFrame, keys=RESUME_KEYS) -> DataFrame:
-    """Files whose partition is not committed yet (resume key is the
-    (vehicle, year, month) partition, so a later month of a committed year is
-    still picked up)."""
-    return files.join(committed.select(*keys).distinct(), list(keys), "left_anti")
+def committed_files(spark: SparkSession, silver_base: str) -> DataFrame:
+    """Files recorded as committed (path, size and partition; empty before the first run)."""
+    return L.read_if_present(spark, COMMITTED_SCHEMA, f"{silver_base.rstrip('/')}_committed").distinct()
 
 
-def committed_partitions(spark: SparkSession, silver_base: str) -> DataFrame:
-    """(vehicle_type, year, month) partitions with a committed data file."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet").load(silver_base).select("path"))
-        files.columns
-    except Exception:  # noqa: BLE001 - no silver table yet
-        return spark.createDataFrame([], "vehicle_type string, year int, month int")
-    files = files.filter(~F.col("path").contains("/_temporary/"))
-    return (files.select(F.regexp_extract("path", r"/vehicle_type=([^/]+)/", 1).alias("vehicle_type"),
-                         F.regexp_extract("path", r"/year=([0-9]+)/", 1).cast("int").alias("year"),
-                         F.regexp_extract("path", r"/month=([0-9]+)/", 1).cast("int").alias("month"))
-                 .filter(F.col("vehicle_type") != "").distinct())
+def pending_files(files: DataFrame, committed: DataFrame) -> DataFrame:
+    """Files that are not committed, or not in their present size."""
+    return files.join(committed.select("path", "size").distinct(), ["path", "size"], "left_anti")
+
+
+def touched_files(files: DataFrame, pending: DataFrame) -> DataFrame:
+    """All files of the partitions that have a pending one."""
+    return files.join(pending.select(*PARTITION_KEYS).distinct(), PARTITION_KEYS, "left_semi")
 
 
 def file_groups(files, batch_files: int = 0) -> list[list[str]]:
@@ -67,30 +60,35 @@ def build_trips(spark: SparkSession, files: DataFrame, manifest_entries: DataFra
                 silver_base: str, limit_batches: int = 0, strict_case: bool = False,
                 strict_month: bool = False, batch_files: int = 0) -> DataFrame:
     """Run bronze -> silver for the discovered ``files`` (frame with path,
-    vehicle_type, year, month); returns the A9 check row (expected, found, ok).
+    size, vehicle_type, year, month); returns the A9 check row (expected, found, pending, ok).
 
     ``strict_month`` also drops trips whose pickup lies outside their file's month.
-    ``batch_files`` > 0 commits the pending files in jobs of about that many
-    files (whole partitions per job), so a failure late in a very large run
-    only redoes the group that was being written; 0 writes everything in one job."""
-    todo = pending_files(files, committed_partitions(spark, silver_base))
+    ``batch_files`` > 0 commits the files in jobs of about that many (whole
+    partitions per job), so a failure late in a very large run only redoes the
+    group that was being written; 0 writes everything in one job. In the row,
+    expected and found count the rows of the partitions written, and pending
+    the registered files that are still not committed (``limit_batches``)."""
+    todo = pending_files(files, committed_files(spark, silver_base))
     if limit_batches:
         batches = todo.select("vehicle_type", "year").distinct().orderBy("vehicle_type", "year").limit(limit_batches)
         todo = todo.join(batches, ["vehicle_type", "year"], "left_semi")          # A21
-    listing = todo.select("path", "vehicle_type", "year", "month").collect()    # file metadata only
-    if not listing:
-        return spark.createDataFrame([(0, 0, True)], "expected long, found long, ok boolean")
-    bounds = N.manifest_bounds(manifest_entries)          # read once for all groups
-    expected = 0
+    listing = touched_files(files, todo).select("path", "size", *PARTITION_KEYS).collect()    # file metadata only
+    bounds = N.manifest_bounds(manifest_entries) if listing else None          # read once for all groups
+    expected, by_path = 0, {r.path: r for r in listing}
     for paths in file_groups(listing, batch_files):
         trips = R.read_raw_trips(spark, paths, strict_case)
         trips = N.keep_in_window(trips, *bounds) if bounds is not None else trips.limit(0)
         if strict_month:
             trips = N.keep_in_file_month(trips)
         expected += L.write_silver_trips(trips, silver_base)
-    written = L.read_silver_trips(spark, silver_base).join(
-        todo.select("vehicle_type", "year", "month").distinct(), ["vehicle_type", "year", "month"], "left_semi")
-    return L.check_row(spark, expected, written)
+        spark.createDataFrame([tuple(by_path[p]) for p in paths], COMMITTED_SCHEMA).coalesce(1) \
+            .write.mode("append").parquet(f"{silver_base.rstrip('/')}_committed")
+    left = pending_files(files, committed_files(spark, silver_base)).count()
+    if not listing:
+        return spark.createDataFrame([(0, 0, left, True)], "expected long, found long, pending long, ok boolean")
+    parts = spark.createDataFrame(sorted({(r.vehicle_type, r.year, r.month) for r in listing}), "vehicle_type string, year int, month int")
+    written = L.read_silver_trips(spark, silver_base).join(F.broadcast(parts), PARTITION_KEYS, "left_semi")   # one row per partition written
+    return L.check_row(spark, expected, written).withColumn("pending", F.lit(left).cast("long"))
 
 
 def build_weather(spark: SparkSession, weather_root: str, silver_weather: str) -> DataFrame:
@@ -100,11 +98,6 @@ def build_weather(spark: SparkSession, weather_root: str, silver_weather: str) -
     return L.check_row(spark, expected, L.read_silver_weather(spark, silver_weather))
 
 
-def hourly_weather_table(weather: DataFrame) -> DataFrame:
-    """Silver weather with one row per hour (Q11)."""
-    return dedupe_hours(weather)
-
-
 def manifest_entries_for(files: DataFrame, dataset_id: str) -> DataFrame:
     """Manifest entries for discovered files (key = dataset/vehicle/YYYY/MM/name)."""
     return files.select(A.bronze_key(F.lit(dataset_id), "vehicle_type", "year", "month", "name").alias("key"),

@@ -1,10 +1,12 @@
 """Session helpers: the caller owns the session; we only read its settings."""
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
+_own: dict[str, str] = {}
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "metrolake") -> SparkSession:
     """Local session for tests and the benchmark (a cluster passes its own)."""
@@ -23,46 +25,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "met
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set our own only where it is unset (tests): ``fallback`` or a folder under
-    the system temp dir. On a cluster the setting must point to shared storage."""
+    Where it is unset, a local master gets ``fallback`` or one folder of its own
+    under the system temp dir; on a cluster that is an error, because executors
+    share no local disk. The caller's settings are not changed."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
-            d = None
+        d = spark.sparkContext.getCheckpointDir() or fallback
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
-        d = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "metrolake-checkpoints")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # noqa: BLE001
-            pass
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="metrolake-checkpoints-")
+        d = _own[app]
     return d
-
-
-def recommended_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
-    """Settings we would give a large cluster for this workload (not applied here:
-    the caller owns the session).
-
-    * AQE re-plans joins from runtime sizes, coalesces small shuffle partitions
-      and splits skewed ones; the initial shuffle partition count is sized so
-      that a full-scan aggregate input lands near the advisory partition size
-      before coalescing (aggregations shrink it by orders of magnitude anyway).
-    * Larger input splits keep the task count of a 100 TB scan reasonable.
-    * The broadcast threshold stays at Spark's default scale: every broadcast
-      in this package is either checked (weather hours, zones) or bounded by a
-      top-k limit, so no data-sized table is ever broadcast.
-    """
-    scan_bytes = input_tb * 1e12
-    shuffle_parts = max(total_cores * 3, int(scan_bytes / 512e6 / 8))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_parts),
-        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-        "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    }

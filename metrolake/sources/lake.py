@@ -1,6 +1,7 @@
 """Lake layers on any Hadoop path: silver trips / weather, JSON marts."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from metrolake.schemas import TRIP_SCHEMA
@@ -14,6 +15,18 @@ def read_silver_trips(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(TRIP_SCHEMA).parquet(base)
 
 
+def read_if_present(spark: SparkSession, schema, path: str, kind: str = "parquet", **options) -> DataFrame:
+    """A table with a known schema; empty when its path does not exist. Every other error is raised."""
+    try:
+        df = spark.read.schema(schema).options(**options).format(kind).load(path)
+        df.columns  # resolves the path
+        return df
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_silver_weather(spark: SparkSession, base: str) -> DataFrame:
     """A4: silver hourly weather (partitioned by year)."""
     return spark.read.parquet(base)

@@ -81,7 +81,9 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     try:
         z = spark.read.option("header", "true").csv(path)
         z.columns  # resolves the path
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], ZONE_SCHEMA)
     return z.select(F.col("LocationID").try_cast("int").alias("location_id"),
                     F.col("Zone").alias("zone"), F.col("Borough").alias("borough"))

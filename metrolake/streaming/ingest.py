@@ -6,11 +6,11 @@ the last run and stops. The checkpoint records which files were consumed, so
 "already seen" needs no manifest lookup and an interrupted run resumes from
 the last committed micro-batch.
 
-Each micro-batch is normalized and written with dynamic partition overwrite
-on (vehicle, year, month). Raw files are one per partition (the
-``<vehicle>_tripdata_<YYYY>-<MM>`` naming makes the partition unique per file
-and the source reads whole files), so a replayed micro-batch rewrites the
-same partitions with the same rows: the sink is idempotent.
+Each micro-batch names the (vehicle, year, month) partitions that got files;
+they are rebuilt from all their raw files (normalized, filtered to the window)
+and replaced with dynamic partition overwrite. Files of one partition may
+therefore arrive in any number of micro-batches or runs, and a replayed
+micro-batch rewrites the same rows: the sink is idempotent.
 """
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from metrolake.operators import normalize as N
 from metrolake.sources import lake as L
+from metrolake.sources import raw as R
 
 TAGS = ["vehicle_type", "year", "month"]
 
@@ -31,30 +32,41 @@ def raw_stream(spark: SparkSession, raw_dir: str, raw_schema: T.StructType,
     return r.parquet(raw_dir)
 
 
-def _writer(silver_base: str, strict_case: bool, window: tuple | None, tag_from_name: bool):
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        if tag_from_name:
-            norm = N.normalize(batch, strict_case=strict_case, keep=["_file_name"])
-            norm = N.tag_from_file_name(norm, F.col("_file_name")).drop("_file_name")
-        else:
-            norm = N.normalize(batch, strict_case=strict_case, keep=TAGS)
-        if window is not None:
-            norm = N.keep_in_window(norm, *N.time_window(*window))
-        L.write_silver_trips(norm, silver_base)
-    return write_batch
+def _rebuilt(spark: SparkSession, raw_dir: str, raw_schema: T.StructType, touched: DataFrame,
+             strict_case: bool, tag_from_name: bool) -> DataFrame:
+    """All raw rows of the touched partitions, normalized. Only file names and
+    partition tags reach the driver."""
+    if tag_from_name:
+        files = R.discover_files(spark, raw_dir).join(touched, TAGS, "left_semi")
+        paths = [r.path for r in files.select("path").collect()]
+        raw = spark.read.schema(raw_schema).parquet(*paths).select("*", F.col("_metadata.file_name").alias("_file_name"))
+        norm = N.normalize(raw, strict_case=strict_case, keep=["_file_name"])
+        return N.tag_from_file_name(norm, F.col("_file_name")).drop("_file_name")
+    raw = spark.read.schema(raw_schema).parquet(raw_dir).join(F.broadcast(touched), TAGS, "left_semi")   # one row per partition
+    return N.normalize(raw, strict_case=strict_case, keep=TAGS)
 
 
 def ingest(spark: SparkSession, raw_dir: str, raw_schema: T.StructType, silver_base: str,
-           checkpoint: str, strict_case: bool = False, window_years: tuple | None = None,
+           checkpoint: str, window_years: tuple[int, int], strict_case: bool = False,
            tag_from_name: bool = True, max_files_per_trigger: int | None = None) -> int:
-    """Process every raw file not yet consumed, then stop; returns the number
-    of micro-batches that carried data."""
+    """Process every raw file not yet consumed, then stop; returns the number of
+    micro-batches that carried data. Trips outside ``window_years`` (first, last),
+    or without a pickup time, are not kept (B8)."""
     stream = raw_stream(spark, raw_dir, raw_schema, max_files_per_trigger)
     if tag_from_name:   # the source file name is only visible on the stream, not in foreachBatch
-        stream = stream.select("*", F.col("_metadata.file_name").alias("_file_name"))
-    q = (stream.writeStream
-         .foreachBatch(_writer(silver_base, strict_case, window_years, tag_from_name))
+        stream = N.tag_from_file_name(stream.select(F.col("_metadata.file_name").alias("_file_name")), F.col("_file_name"))
+    stream, carried = stream.select(*TAGS), []
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        touched = [tuple(r) for r in batch.distinct().collect()]         # partitions of the batch's files
+        if touched:
+            parts = spark.createDataFrame(touched, "vehicle_type string, year int, month int")
+            norm = _rebuilt(spark, raw_dir, raw_schema, parts, strict_case, tag_from_name)
+            L.write_silver_trips(N.keep_in_window(norm, *N.time_window(*window_years)), silver_base)
+            carried.append(epoch_id)
+
+    q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    return len(carried)

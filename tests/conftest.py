@@ -19,8 +19,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    from metrolake.session import checkpoint_dir
-    checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="metrolake-ckpt-"))
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="metrolake-ckpt-"))
     yield s
     s.stop()
 

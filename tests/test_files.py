@@ -71,7 +71,8 @@ def test_silver_build_resume_and_idempotence(spark, workdir):
     silver = f"{workdir}/silver"
     first = SV.build_trips(spark, files, entries, silver, limit_batches=1).first()   # only (yellow, 2009)
     assert first.ok and first.expected == 1        # garbage and 2003 timestamps fall out of the window
-    committed = {(r.vehicle_type, r.year, r.month) for r in SV.committed_partitions(spark, silver).collect()}
+    assert first.pending == 2
+    committed = {(r.vehicle_type, r.year, r.month) for r in SV.committed_files(spark, silver).collect()}
     assert committed == {("yellow", 2009, 1)}
     second = SV.build_trips(spark, files, entries, silver).first()                   # resumes with 2016
     assert second.ok and second.expected == 3
@@ -136,7 +137,8 @@ def test_stream_ingest_named_files_second_run_is_empty(spark, workdir):
     raw_tree(f"{workdir}/raw")
     src = f"{workdir}/raw/2016/07"
     schema = spark.read.parquet(src).schema
-    args = dict(raw_schema=schema, silver_base=f"{workdir}/silver", checkpoint=f"{workdir}/ckpt")
+    args = dict(raw_schema=schema, silver_base=f"{workdir}/silver", checkpoint=f"{workdir}/ckpt",
+                window_years=(2016, 2016))
     assert STREAM.ingest(spark, src, **args) == 1
     assert STREAM.ingest(spark, src, **args) == 0
     got = L.read_silver_trips(spark, f"{workdir}/silver").collect()
@@ -152,7 +154,7 @@ def test_interrupted_partition_is_rebuilt(spark, workdir):
     os.makedirs(f"{silver}/_temporary/0/vehicle_type=yellow/year=2016/month=7", exist_ok=True)
     _write(f"{silver}/_temporary/0/vehicle_type=yellow/year=2016/month=7/part-0.parquet",
            pa.table({"x": [1]}))
-    assert SV.committed_partitions(spark, silver).count() == 0
+    assert SV.committed_files(spark, silver).count() == 0
     check = SV.build_trips(spark, files, entries, silver).first()
     assert check.ok and check.expected == 4
 
@@ -178,7 +180,10 @@ def test_run_all_end_to_end_and_rerun(spark, workdir):
     assert cond == {"Dégagé": 1}            # the 2016-07-01 08:00 trip with distance > 0
     again = lakehouse.run_all(spark, f"{workdir}/raw", f"{workdir}/lake", "city")
     assert again["trips_check"].first().expected == 0        # nothing left to ingest
-    assert spark.read.json(f"{workdir}/lake/_manifest/city", recursiveFileLookup=True).count() == 2
+    assert {r.status: r["count"] for r in out["files_by_status"].collect()} == {"new": 3}
+    assert {r.status: r["count"] for r in again["files_by_status"].collect()} == {"skipped": 3}
+    runs = spark.read.json(f"{workdir}/lake/manifest")
+    assert {r.run for r in runs.collect()} == {1, 2} and runs.count() == 6
 
 
 def test_strict_month_window_drops_foreign_pickups(spark, workdir):
@@ -205,7 +210,7 @@ def test_stream_ingest_picks_up_only_new_files(spark, workdir):
     month_file(ts1, "yellow_tripdata_2016-07.parquet")
     schema = spark.read.parquet(src).schema
     args = dict(raw_schema=schema, silver_base=f"{workdir}/silver", checkpoint=f"{workdir}/ckpt",
-                max_files_per_trigger=1)
+                window_years=(2016, 2016), max_files_per_trigger=1)
     assert STREAM.ingest(spark, src, **args) == 1
     month_file(ts2, "yellow_tripdata_2016-08.parquet")          # arrives after the first run
     assert STREAM.ingest(spark, src, **args) == 1                # only the new file
@@ -232,3 +237,70 @@ def test_file_groups_keep_partitions_whole():
     groups = SV.file_groups(rows, batch_files=1)
     assert sorted(map(sorted, groups)) == [["a1", "a2"], ["b"], ["c"]]
     assert SV.file_groups(rows) == [["c", "a1", "a2", "b"]]
+
+
+def _month_file(path, ts, strings=False):
+    n = len(ts)
+    _write(path, pa.table({"VendorID": pa.array([1] * n, pa.int32()), "tpep_pickup_datetime": pa.array(ts, pa.string() if strings else pa.timestamp("us")),
+                           "tpep_dropoff_datetime": pa.array(ts, pa.string() if strings else pa.timestamp("us")),
+                           "trip_distance": [1.0] * n, "total_amount": [5.0] * n}))
+
+
+def test_late_and_changed_files_rebuild_their_partition(spark, workdir):
+    raw, silver = f"{workdir}/raw", f"{workdir}/silver"
+    _month_file(f"{raw}/yellow_tripdata_2016-07.parquet", [dt.datetime(2016, 7, 1, 8), dt.datetime(2016, 7, 2, 8)])
+
+    def build():
+        files = R.discover_files(spark, raw)
+        return SV.build_trips(spark, files, SV.manifest_entries_for(files, "city"), silver).first()
+
+    assert build().expected == 2
+    _month_file(f"{raw}/part2_yellow_tripdata_2016-07.parquet", [dt.datetime(2016, 7, 3, 8)])       # a later file of a committed month
+    check = build()
+    assert (check.expected, check.found, check.pending, check.ok) == (3, 3, 0, True)
+    _month_file(f"{raw}/part2_yellow_tripdata_2016-07.parquet", [dt.datetime(2016, 7, d, 8) for d in (3, 4, 5, 6)])    # and a changed one
+    assert build().found == 6 and build().expected == 0
+    assert L.read_silver_trips(spark, silver).count() == 6
+
+
+def test_stream_keeps_all_files_of_a_month_and_only_the_window(spark, workdir):
+    src = f"{workdir}/incoming"
+    for i, ts in enumerate(([dt.datetime(2016, 7, 1, 8)], [dt.datetime(2016, 7, 2, 8), None], [dt.datetime(2016, 7, 3, 8), dt.datetime(1903, 1, 1)])):
+        _month_file(f"{src}/part{i}_yellow_tripdata_2016-07.parquet", ts)
+    schema = spark.read.parquet(src).schema
+    args = dict(raw_schema=schema, silver_base=f"{workdir}/silver", checkpoint=f"{workdir}/ckpt", window_years=(2016, 2016), max_files_per_trigger=1)
+    assert STREAM.ingest(spark, src, **args) == 3
+    _month_file(f"{src}/late_yellow_tripdata_2016-07.parquet", [dt.datetime(2016, 7, 9, 8)])
+    assert STREAM.ingest(spark, src, **args) == 1
+    days = sorted(r.pickup_ts.day for r in L.read_silver_trips(spark, f"{workdir}/silver").collect())
+    assert days == [1, 2, 3, 9]
+
+
+def test_dirty_strings_in_a_modern_file_become_null(spark, workdir):
+    path = f"{workdir}/yellow_tripdata_2016-07.parquet"
+    _month_file(path, ["2016-07-01 08:00:00", "not a time", None], strings=True)
+    got = R.read_raw_trips(spark, [path]).collect()
+    assert sorted(str(r.pickup_ts) for r in got) == ["2016-07-01 08:00:00", "None", "None"]
+
+
+def test_merge_takes_the_latest_run(spark):
+    schema = "key string, size long, vehicle_type string, year int, month int, run int"
+    old = spark.createDataFrame([("a", 9, "y", 2016, 1, 1), ("a", 2, "y", 2016, 1, 2)], schema)
+    for frame in (old, old.orderBy("run", ascending=False).coalesce(1)):
+        assert [r["size"] for r in A.merge_entries(frame, old.limit(0)).collect()] == [2]
+
+
+def test_rerun_without_weather_leaves_no_stale_rows(spark, workdir):
+    from metrolake.plans import gold
+    raw_tree(f"{workdir}/raw")
+    files = R.discover_files(spark, f"{workdir}/raw")
+    SV.build_trips(spark, files, SV.manifest_entries_for(files, "city"), f"{workdir}/silver")
+    trips = L.read_silver_trips(spark, f"{workdir}/silver")
+    weather = spark.createDataFrame([(dt.datetime(2016, 7, 1, 8), 21.0, 0.0, 0.0, 0, 3.0)],
+                                    "ts timestamp_ntz, temperature double, precipitation double, snowfall double, weather_code int, wind_speed double")
+    for w, n in ((weather, 1), (None, 0)):
+        gold.run(spark, trips.drop("tip_amount"), w, f"{workdir}/gold", dataset_id="city")
+        rows = L.read_mart(spark, f"{workdir}/gold/city/weather_deviation/rows", "annee int, condition string")
+        assert rows.count() == n
+        done = A.mart_completeness(gold.present_marts(spark, f"{workdir}/gold")).first()
+        assert done.complet, done.manquants                     # an empty mart and a missing zone file are served as empty
