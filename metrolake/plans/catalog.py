@@ -23,8 +23,8 @@ CATALOG: dict[str, tuple[QueryFn, str | None]] = {}
 
 L_SUR = S.TRIPS_L_SURCHARGES
 L_WIDTH = S.TRIPS_L_BIN_WIDTH
-ZONE_WEATHER_MIN = 20      # C31 threshold on the small surrogate
-RAIN_GATE_SMALL = 1        # D7 / D8 gates on the small surrogate
+ZONE_WEATHER_MIN = K.MIN_ZONE_WEATHER_TRIPS
+MEAN_COURSES = "(SELECT ceil(avg(courses)) FROM zone1)"     # a threshold that parts the groups at every size of the data
 
 
 def register(name: str, sql: str | None):
@@ -384,6 +384,21 @@ def q_c31(spark, d):
     return W.price_by_zone_condition(_wz(spark, d), ZONE_WEATHER_MIN)
 
 
+ZONE1 = "zone1 AS (" + _ratio_sql("zone, condition", "(SELECT *, pulocation_id AS zone FROM jz) b") + ")"
+
+
+def mean_gate(zone_condition: DataFrame):
+    """The mean trip count of all groups, rounded up, as a scalar."""
+    return zone_condition.agg(F.ceil(F.avg("courses"))).scalar()
+
+
+@register("C31_price_by_zone_condition_mean", O.with_views(["trips_e", "weather_e"], WDIM, HZ, JZ, ZONE1) +
+          f"SELECT * FROM zone1 WHERE courses >= {MEAN_COURSES}")
+def q_c31_mean(spark, d):
+    hwz = _wz(spark, d)
+    return W.price_by_zone_condition(hwz, mean_gate(W.price_by_zone_condition(hwz, 1)))
+
+
 # ----------------------------------------------------------------------------- C32-C34
 @register("C32_price_by_distance", O.with_views(["trips_e"]) +
           _ratio_sql("annee, bande", f"(SELECT year AS annee, {O.distance_band_sql('trip_distance')} AS bande, "

@@ -15,7 +15,7 @@ from metrolake.operators import questions as Q
 from metrolake.operators import serve as D
 from metrolake.operators import weather as W
 from metrolake.plans.catalog import (C5_SELECT, DO, HEAT, HIST, HV, HZ, JV, JZ, L_SUR, L_WIDTH, LINKS_SQL, NODES_SQL, PPK,
-                                     PPKB, PU, RAIN_GATE_SMALL, RESTRICTED, TIMELINE, TIPS, TOPZ, WDIM, ZS,
+                                     PPKB, PU, RESTRICTED, TIMELINE, TIPS, TOPZ, WDIM, ZONE1, ZS, MEAN_COURSES, mean_gate,
                                      _ratio_sql, register, te, tl, we)
 from metrolake.sources import surrogates as S
 
@@ -48,14 +48,19 @@ TBAND = ("tband AS (" + _ratio_sql("annee, bande", "(SELECT *, year AS annee, "
          f"{O.temperature_band_sql('temperature')} AS bande FROM jv) b") + ")")
 GLOB = "globr AS (" + _ratio_sql("annee", "(SELECT *, year AS annee FROM jv) b") + ")"
 HOURR = "hourr AS (" + _ratio_sql("annee, condition, heure", "(SELECT *, year AS annee FROM jv) b") + ")"
-ZONER = ("zoner AS (" + _ratio_sql("zone, condition", "(SELECT *, pulocation_id AS zone FROM jz) b",
-                                   f" HAVING sum(courses) >= {RAIN_GATE_SMALL}") + ")")
-RAIN = ("rain AS (SELECT zone, "
-        f"max(CASE WHEN condition = '{K.RAIN_CONDITION}' AND courses >= {RAIN_GATE_SMALL} THEN prix_km_moyen END) AS pluie, "
-        f"max(CASE WHEN condition = '{K.CLEAR_CONDITION}' AND courses >= {RAIN_GATE_SMALL} THEN prix_km_moyen END) AS clair, "
-        f"CAST(COALESCE(max(CASE WHEN condition = '{K.RAIN_CONDITION}' THEN courses END), 0) AS BIGINT) AS pluie_n "
-        f"FROM zoner WHERE condition IN ('{K.RAIN_CONDITION}', '{K.CLEAR_CONDITION}') GROUP BY zone)")
 RAINR = f"rainr AS (SELECT *, {O.ratio('pluie', 'clair', 4)} AS ratio FROM rain)"
+
+
+def _rain_ctes(gate: str) -> list[str]:
+    """Zone x condition groups that reach the gate, and each zone's rain and clear price."""
+    rain, clear = f"condition = '{K.RAIN_CONDITION}'", f"condition = '{K.CLEAR_CONDITION}'"
+    return [ZONE1, f"zoner AS (SELECT * FROM zone1 WHERE courses >= {gate})",
+            f"rain AS (SELECT zone, max(CASE WHEN {rain} AND courses >= {gate} THEN prix_km_moyen END) AS pluie, "
+            f"max(CASE WHEN {clear} AND courses >= {gate} THEN prix_km_moyen END) AS clair, "
+            f"CAST(COALESCE(max(CASE WHEN {rain} THEN courses END), 0) AS BIGINT) AS pluie_n "
+            f"FROM zoner WHERE {rain} OR {clear} GROUP BY zone)", RAINR]
+
+
 DIST = ("dist AS (" + _ratio_sql("annee, bande", f"(SELECT year AS annee, {O.distance_band_sql('trip_distance')} "
         "AS bande, 1 AS courses, total_amount AS somme_total, trip_distance AS somme_km FROM trips_e "
         "WHERE trip_distance > 0 AND total_amount IS NOT NULL) b", " HAVING sum(somme_km) <> 0") + ")")
@@ -86,9 +91,15 @@ def _hwz(spark, d):
     return W.hourly_weather(te(spark, d), we(spark, d), by="pulocation_id")
 
 
-def _rain(spark, d):
-    zr = W.price_by_zone_condition(_hwz(spark, d), RAIN_GATE_SMALL)
-    return D.rain_ratio(D.zone_rain_clear(zr, RAIN_GATE_SMALL))
+def _rain_clear(spark, d, mean: bool = False):
+    """Rain and clear prices behind the fixed gate, or behind the mean trip count of all groups."""
+    hwz = _hwz(spark, d)
+    gate = mean_gate(W.price_by_zone_condition(hwz, 1)) if mean else K.RAIN_GATE
+    return D.zone_rain_clear(W.price_by_zone_condition(hwz, gate), gate)
+
+
+def _rain(spark, d, mean: bool = False):
+    return D.rain_ratio(_rain_clear(spark, d, mean))
 
 
 def _links_nodes(spark, d):
@@ -162,13 +173,18 @@ def q_d6(spark, d):
     return _zone_agg(spark, d)
 
 
-WZ_CTES = [WDIM, HZ, JZ, ZONER, RAIN, RAINR]
+WZ_CTES = [WDIM, HZ, JZ, *_rain_ctes(str(K.RAIN_GATE))]
+WZ_MEAN_CTES = [WDIM, HZ, JZ, *_rain_ctes(MEAN_COURSES)]
 
 
 @register("D7_zone_rain_clear", O.with_views(WEATHER_V, *WZ_CTES) + "SELECT zone, pluie, clair, pluie_n FROM rain")
 def q_d7(spark, d):
-    zr = W.price_by_zone_condition(_hwz(spark, d), RAIN_GATE_SMALL)
-    return D.zone_rain_clear(zr, RAIN_GATE_SMALL)
+    return _rain_clear(spark, d)
+
+
+@register("D7_zone_rain_clear_mean", O.with_views(WEATHER_V, *WZ_MEAN_CTES) + "SELECT zone, pluie, clair, pluie_n FROM rain")
+def q_d7_mean(spark, d):
+    return _rain_clear(spark, d, mean=True)
 
 
 @register("D8_rain_ratio", O.with_views(WEATHER_V, *WZ_CTES) + "SELECT * FROM rainr")
@@ -176,26 +192,33 @@ def q_d8(spark, d):
     return _rain(spark, d)
 
 
-def _metric_sql(metric):
+@register("D8_rain_ratio_mean", O.with_views(WEATHER_V, *WZ_MEAN_CTES) + "SELECT * FROM rainr")
+def q_d8_mean(spark, d):
+    return _rain(spark, d, mean=True)
+
+
+def _metric_sql(metric, weather_ctes=WZ_CTES):
     if metric in ("pluie", "ratio_pluie"):
         col = "pluie" if metric == "pluie" else "ratio"
         body = (f"SELECT zagg.zone, CAST(rainr.{col} AS DOUBLE) AS value FROM zagg "
                 "LEFT JOIN rainr ON zagg.zone = rainr.zone")
     else:
         body = f"SELECT zone, CAST({metric} AS DOUBLE) AS value FROM zagg"
-    return (O.with_views(["trips_l", "trips_e", "weather_e"], *ZS_CTES, *WZ_CTES)
+    return (O.with_views(["trips_l", "trips_e", "weather_e"], *ZS_CTES, *weather_ctes)
             + f"SELECT * FROM ({body}) m WHERE value > 0")
 
 
-def _metric_query(metric):
+def _metric_query(metric, mean=False):
     def q(spark, d):
-        rain = _rain(spark, d) if metric in ("pluie", "ratio_pluie") else None      # the others need no weather
+        rain = _rain(spark, d, mean) if metric in ("pluie", "ratio_pluie") else None      # the others need no weather
         return D.zone_metric(_zone_agg(spark, d), rain, metric)
     return q
 
 
 for _m in D.METRICS:
     register(f"D9_zone_metric_{_m}", _metric_sql(_m))(_metric_query(_m))
+for _m in ("pluie", "ratio_pluie"):
+    register(f"D9_zone_metric_{_m}_mean", _metric_sql(_m, WZ_MEAN_CTES))(_metric_query(_m, mean=True))
 
 
 @register("D10_top_zones", O.with_views(["trips_l"], *ZS_CTES) +
