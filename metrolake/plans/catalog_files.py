@@ -110,15 +110,14 @@ def q_a24(spark, d):
     return L.read_silver_trips(spark, f"{run}/silver/trips")
 
 
-@register("A2_A4_A7_weather_roundtrip", O.with_views(["weather_e"]) +
-          "SELECT ts, temperature, weather_code, CAST(year(ts) AS INT) AS year FROM weather_e")
+@register("A2_A4_A7_weather_roundtrip", B.WEATHER_SQL)
 def q_a2(spark, d):
     run = run_dir(spark)
     B.weather_documents(we(spark, d)).select("year", "hourly").write.mode("overwrite") \
         .partitionBy("year").json(f"{run}/bronze/weather")
     w = R.read_weather_json(spark, f"{run}/bronze/weather")
     L.write_silver_weather(w, f"{run}/silver/weather")        # returns the rows written
-    return L.read_silver_weather(spark, f"{run}/silver/weather").select("ts", "temperature", "weather_code", "year")
+    return L.read_silver_weather(spark, f"{run}/silver/weather")
 
 
 @register("A5_zone_csv", O.with_views(["zones_s"]) + "SELECT location_id, zone, borough FROM zones_s")

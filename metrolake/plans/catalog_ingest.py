@@ -7,12 +7,16 @@ registered the files up to 1998 in its manifest; an interrupted run copied
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from metrolake import constants as K
 from metrolake import oracle as O
 from metrolake.operators import manifest as A
+from metrolake.plans import gold
 from metrolake.plans.catalog import register, te, tl, we
+from metrolake.session import checkpoint_dir
 from metrolake.sources import raw as R
 from metrolake.sources import surrogates as S
 
@@ -230,41 +234,15 @@ def q_a23(spark, d):
     return A.select_kind(both, "trips")
 
 
-# trips months per dataset and whether weather hours cover any of them
-def _months(df, ds):
-    return df.select(F.lit(ds).alias("dataset_id"), "year", "month").distinct()
-
-
-def _present_marts(spark, d):
-    w = we(spark, d).select(F.year("ts").alias("year"), F.month("ts").alias("month")).distinct()
-    months = _months(tl(spark, d), "trips-l").unionByName(_months(te(spark, d), "trips-e"))
-    covered = months.join(w, ["year", "month"], "left_semi").select("dataset_id").distinct() \
-                    .withColumn("_w", F.lit(True))
-    ds = months.select("dataset_id").distinct().join(covered, "dataset_id", "left")
-    marts = F.explode(F.array(*[F.lit(m) for m in K.REQUIRED_MARTS])).alias("mart")
-    return (ds.select("dataset_id", "_w", marts)
-              .filter((F.col("mart") != "weather_deviation") | F.col("_w").isNotNull())
-              .select("dataset_id", "mart"))
-
-
-_MARTS = "[" + ", ".join(f"'{m}'" for m in K.REQUIRED_MARTS) + "]"
-PRESENT = ("mo AS (SELECT DISTINCT 'trips-l' AS dataset_id, year, month FROM trips_l UNION "
-           "SELECT DISTINCT 'trips-e', year, month FROM trips_e), "
-           "wm AS (SELECT DISTINCT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month FROM weather_e), "
-           "cov AS (SELECT DISTINCT dataset_id FROM mo WHERE (year, month) IN (SELECT (year, month) FROM wm)), "
-           "present AS (SELECT dataset_id, mart FROM (SELECT DISTINCT dataset_id FROM mo) d, "
-           f"(SELECT unnest({_MARTS}) AS mart) r WHERE mart <> 'weather_deviation' "
-           "OR dataset_id IN (SELECT dataset_id FROM cov))")
-
-
-@register("A25_mart_completeness", O.with_views(["trips_l", "trips_e", "weather_e"], PRESENT) +
-          f"SELECT d.dataset_id, CAST(to_json(COALESCE((SELECT list(mart ORDER BY mart) FROM (SELECT unnest({_MARTS}) "
-          "AS mart) r WHERE mart NOT IN (SELECT mart FROM present p WHERE p.dataset_id = d.dataset_id)), [])) AS VARCHAR) "
-          "AS manquants, NOT EXISTS (SELECT 1 FROM (SELECT unnest(" + _MARTS + ") AS mart) r WHERE mart NOT IN "
-          "(SELECT mart FROM present p WHERE p.dataset_id = d.dataset_id)) AS complet "
-          "FROM (SELECT DISTINCT dataset_id FROM present) d")
+# Two gold runs: one without weather and zones, one whose trips have no surcharges (so that mart is missing).
+@register("A25_mart_completeness", O.with_views(["trips_l", "trips_e"]) +
+          "SELECT 'trips-l' AS dataset_id, '[]' AS manquants, true AS complet WHERE EXISTS (SELECT 1 FROM trips_l) UNION ALL "
+          "SELECT 'trips-e', '[\"surcharge_evolution\"]', false WHERE EXISTS (SELECT 1 FROM trips_e)")
 def q_a25(spark, d):
-    return A.mart_completeness(_present_marts(spark, d)).withColumn("manquants", F.to_json("manquants"))
+    out = f"{checkpoint_dir(spark).rstrip('/')}/metrolake-runs/{uuid.uuid4().hex}"
+    gold.run(spark, tl(spark, d), None, out, surcharges=S.TRIPS_L_SURCHARGES, width=S.TRIPS_L_BIN_WIDTH, dataset_id="trips-l")
+    gold.run(spark, te(spark, d), we(spark, d), out, zones=S.zones_s(spark, d), surcharges=[], dataset_id="trips-e")
+    return A.mart_completeness(gold.present_marts(spark, out)).withColumn("manquants", F.to_json("manquants"))
 
 
 def _status_sql(view):

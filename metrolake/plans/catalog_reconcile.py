@@ -183,16 +183,23 @@ def weather_documents(weather: DataFrame) -> DataFrame:
     return g.select("year", "month", F.struct(
         F.transform(hs, lambda x: F.date_format(x["ts"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
         F.transform(hs, lambda x: x["temperature"]).alias("temperature_2m"),
-        F.transform(hs, lambda x: F.lit(None).cast("double")).alias("precipitation"),
-        F.transform(hs, lambda x: F.lit(0.0)).alias("snowfall"),
+        F.transform(hs, lambda x: F.when(x["weather_code"] % 7 != 0, (x["weather_code"] % 10).cast("double") / 10.0)).alias("precipitation"),
+        F.transform(hs, lambda x: F.when(x["temperature"] < 0, -x["temperature"] / 10.0).otherwise(F.lit(0.0))).alias("snowfall"),
         F.transform(hs, lambda x: x["weather_code"].cast("long")).alias("weather_code"),
-        F.slice(F.transform(hs, lambda x: F.lit(5.5)), 1, 700).alias("wind_speed_10m"),
+        # shorter than the others by the month's hours of a kind: trailing hours have no wind
+        F.slice(F.transform(hs, lambda x: (F.hour(x["ts"]) + F.dayofmonth(x["ts"])).cast("double") / 2.0), 1,
+                F.size(hs) - F.size(F.filter(hs, lambda x: x["weather_code"] % 13 == 0))).alias("wind_speed_10m"),
     ).alias("hourly"))
 
 
-@register("B10_B12_weather_explode", O.with_views(["weather_e"]) +
-          "SELECT ts, temperature, CAST(NULL AS DOUBLE) AS precipitation, CAST(0.0 AS DOUBLE) AS snowfall, weather_code, "
-          "CASE WHEN row_number() OVER (PARTITION BY year(ts), month(ts) ORDER BY ts) <= 700 THEN CAST(5.5 AS DOUBLE) END "
-          "AS wind_speed, CAST(year(ts) AS INT) AS year FROM weather_e")
+MONTH = "OVER (PARTITION BY year(ts), month(ts)"
+WEATHER_SQL = O.with_views(["weather_e"]) + (
+    "SELECT ts, temperature, CASE WHEN weather_code % 7 <> 0 THEN CAST(weather_code % 10 AS DOUBLE) / 10.0 END AS precipitation, "
+    "CASE WHEN temperature < 0 THEN -temperature / 10.0 ELSE CAST(0.0 AS DOUBLE) END AS snowfall, weather_code, "
+    f"CASE WHEN row_number() {MONTH} ORDER BY ts) <= count(*) {MONTH}) - count(*) FILTER (WHERE weather_code % 13 = 0) {MONTH}) "
+    "THEN CAST(hour(ts) + day(ts) AS DOUBLE) / 2.0 END AS wind_speed, CAST(year(ts) AS INT) AS year FROM weather_e")
+
+
+@register("B10_B12_weather_explode", WEATHER_SQL)
 def q_b10(spark, d):
     return W.explode_hourly(weather_documents(S.weather_e(spark, d)))
