@@ -20,6 +20,7 @@ from metrolake.plans.catalog import (C5_SELECT, DO, HEAT, HIST, HV, HZ, JV, JZ,
 from metrolake.sources import surrogates as S
 
 SEL_YEARS = [1996, 1997, 1998, 1999]
+EVENT_YEARS = [2023, 2024]
 SEL_VEHICLES = ["green", "yellow"]
 ALL_VEHICLES = ["fhv", "green", "yellow"]
 
@@ -340,6 +341,18 @@ def q_d21(spark, d):
     return D.zone_comparator(_dense(spark, d))
 
 
+def _wide_sql(row: str, col: str, value: str, source: str, values) -> str:
+    """One column per listed value, as the tables of the studied dashboard have them."""
+    cells = ", ".join(f"max(CASE WHEN {col} = {v} THEN {value} END) AS \"{v}\"" for v in values)
+    return f"SELECT {row}, {cells} FROM {source} GROUP BY {row}"
+
+
+@register("D21_zone_comparator_wide", O.with_views(["trips_l"], *HIST_CTES, CMP) +
+          _wide_sql("zone", "annee", "prix_km_moyen", "cmp", SEL_YEARS))
+def q_d21_wide(spark, d):
+    return D.pivot_table(D.zone_comparator(_dense(spark, d)), "zone", "annee", "prix_km_moyen", SEL_YEARS)
+
+
 @register("D22_cheapest_zone_year", O.with_views(["trips_l"], *HIST_CTES, CMP) +
           "SELECT * FROM cmp ORDER BY prix_km_moyen, annee, zone LIMIT 1")
 def q_d22(spark, d):
@@ -386,6 +399,12 @@ def q_d26(spark, d):
     return D.distance_series(M.price_by_distance(te(spark, d)))
 
 
+@register("D26_distance_series_wide", O.with_views(["trips_e"], DIST) + "SELECT bande, " + ", ".join(
+    f"max(CASE WHEN annee = {y} THEN prix_km_moyen END) AS \"{y}\"" for y in EVENT_YEARS) + " FROM dist GROUP BY bande")
+def q_d26_wide(spark, d):
+    return D.pivot_table(D.distance_series(M.price_by_distance(te(spark, d))), "bande", "annee", "prix_km_moyen", EVENT_YEARS)
+
+
 def _wm_when(band):
     return O.weighted_mean(f"(CASE WHEN bande = '{band}' THEN prix_km_moyen END)", "courses")
 
@@ -402,6 +421,11 @@ def q_d28(spark, d):
     return D.tip_series(M.tip_rates(tl(spark, d)))
 
 
+@register("D28_tip_series_wide", O.with_views(["trips_l"], TIPS) + _wide_sql("vehicle", "annee", "taux_pct", "tips", SEL_YEARS))
+def q_d28_wide(spark, d):
+    return D.pivot_table(D.tip_series(M.tip_rates(tl(spark, d))), "vehicle", "annee", "taux_pct", SEL_YEARS)
+
+
 # ------------------------------------------------------------------ D29-D33
 WV_CTES = [WDIM, HV, JV, COND, TBAND, GLOB, HOURR]
 
