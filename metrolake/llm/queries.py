@@ -112,7 +112,22 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("removed").alias("n_intervals"))
 
 
-CATALOG["op4_substring_dedup"] = (op4_substring_dedup, None)
+OP4_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS body FROM docs, range(1, len(ws) - 18) r(s)),
+later AS (SELECT doc_id, s, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS nth FROM windows),
+covered AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM later WHERE nth > 1),
+words AS (SELECT doc_id, i, ws[i] AS w FROM docs, range(1, len(ws) + 1) r(i)),
+marked AS (SELECT words.*, covered.i IS NOT NULL AS gone FROM words LEFT JOIN covered USING (doc_id, i)),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM marked),
+per AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS removed, string_agg(w, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept,
+               count(*) FILTER (WHERE begins) AS intervals FROM runs GROUP BY doc_id)
+SELECT docs.doc_id, len(ws)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+       coalesce(intervals, 0)::INTEGER AS n_intervals
+FROM docs LEFT JOIN per USING (doc_id)
+"""
+
+CATALOG["op4_substring_dedup"] = (op4_substring_dedup, OP4_SQL)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +135,23 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-CATALOG["op9_jaccard_join"] = (op9_jaccard_join, None)
+OP9_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[s:s + 2], ' ') AS body FROM docs, range(1, greatest(len(ws) - 1, 2)) r(s) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.body = b.body AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT docs.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(y) FROM reach WHERE x = docs.doc_id) AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id)
+"""
+
+CATALOG["op9_jaccard_join"] = (op9_jaccard_join, OP9_SQL)
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
