@@ -141,8 +141,8 @@ def slots(per_source: pd.DataFrame, spark, slots_each: int = SLOTS, block: int =
 
         return store.gather(parts())
 
-    parts = min(2048, n_shards)
-    counts = spark.range(0, n_shards, 1, parts).mapInPandas(drawn, "shard long, rank int, n long").where("n > 0") \
+    parts = min(2048, -(-n_shards // 8))                # tasks that place slots; drawing is lighter
+    counts = spark.range(0, n_shards, 1, -(-parts // 4)).mapInPandas(drawn, "shard long, rank int, n long").where("n > 0") \
         .withColumn("run", F.floor(F.col("shard") / 1024))
     before = store.offsets(counts, ["rank"], "run", F.col("n"), "_before")
     w = Window.partitionBy("rank", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
