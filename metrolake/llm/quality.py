@@ -120,7 +120,8 @@ def _sample(rows: DataFrame, key: str, text: str) -> np.ndarray:
             yield pd.DataFrame({"h": b["h"], "x": [r.tobytes() for r in x]})
 
     near = rows.select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(text).alias("t")).where(F.col("h") <= F.lit(cut))
-    got = sorted((r["h"], bytes(r["x"])) for r in near.mapInPandas(run, "h long, x binary").toLocalIterator())
+    found = near.mapInPandas(run, "h long, x binary").limit(2 * SAMPLE)         # a key that very many rows share stays bounded
+    got = sorted((r["h"], bytes(r["x"])) for r in found.toLocalIterator())
     return np.array([np.frombuffer(x, np.float32) for _, x in got[:SAMPLE]])
 
 

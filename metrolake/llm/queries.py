@@ -99,7 +99,7 @@ CATALOG["op1_mixing"] = (op1_mixing, None)
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item, with the item and the share covered."""
-    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("hash")
 
 
 CATALOG["op5_decontaminate"] = (op5_decontaminate, None)
