@@ -15,6 +15,7 @@ and only groups whose bound reaches the threshold are opened and compared.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +27,11 @@ from metrolake.llm.substrings import _mix, _raw, windows, word_hashes
 
 SHINGLE = 3
 NEED, OF = 90, 100                      # linked when OF * intersection >= NEED * union
-GROUP_TOKENS = 4_000_000                # most tokens of a set that one task compares; larger sets are spread
+GROUP_TOKENS = 8_000_000                # most tokens of a set that one task compares; larger sets are spread
 PIVOTS = 64                             # documents of a larger set that are compared with all of it at once
 BROADCAST_ROWS = 2_000_000
 COMMON = 64                             # a signature of more classes is common; documents with enough others do without it
+SAMPLE, SAMPLE_CHARS, SAMPLE_TOKENS = 5_000, 20_000, 1_000_000     # bounds of the sample that shared passages are looked for in
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MAX = (1 << 63) - 1
 
@@ -54,32 +56,39 @@ def levels(top: int) -> list[int]:
     return out
 
 
-def signatures(tokens: np.ndarray, need: int = NEED, of: int = OF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def signatures(tokens: np.ndarray, need: int = NEED, of: int = OF, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, level, spare): linked sets have at least spare + 1 signatures of a level in common.
 
     A pair meets at the level of its smaller set x. There |x| <= hi and
     |y| <= |x| * of / need, so the sets differ in at most D = hi * (of - need) / need
     tokens (from OF * i >= NEED * u), and at least k - D of k segments are equal.
-    Up to k - D - 1 segments can be left out and one of the equal ones remains:
-    empty ones first, then as many as ``spare``. A set with more empty segments
-    keeps them all."""
+    Of an equal segment the tokens in ``known`` (any fixed, sorted array: passages that
+    many documents share) may be left out, and the rest is still equal. So up to
+    k - D - 1 segments can be left out and one of the equal ones remains: those
+    empty without the known tokens first, then as many as ``spare``. A set with more
+    empty ones signs all its segments with all their tokens as well."""
     n = len(tokens)
     out = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
     starts = levels(n * 2)
     own = bisect_right(starts, n) - 1
+    known = np.zeros(0, np.uint64) if known is None or not len(known) else known
+    rare = known[np.searchsorted(known, tokens).clip(max=len(known) - 1)] != tokens if len(known) else np.ones(n, bool)
     for at in (own, own - 1) if n else ():
         if at < 0 or (at < own and need * n > of * (starts[own] - 1)):
             continue
         most = (starts[at + 1] - 1) * (of - need) // need
-        k = most + 1 + most // 8
+        k = most + 1 + most // 4
         segment = (_mix(tokens ^ np.uint64(0x1234567)) % np.uint64(k)).astype(np.int64)
-        total, count = np.zeros(k, np.uint64), np.bincount(segment, minlength=k)
-        np.add.at(total, segment, _mix(tokens + np.uint64(77)))
-        empty = int((count == 0).sum())
-        used = np.flatnonzero((count > 0) | (empty >= k - most))
-        spare = max(0, k - most - 1 - empty)
-        h = _mix(total[used] + np.uint64(at * 1_000_003 + 1) + used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        out.append((h, np.full(len(h), at, np.int32), np.full(len(h), spare, np.int32)))
+        place = np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(at * 1_000_003 + 1)
+        each = _mix(tokens + np.uint64(77))
+        total, count = np.zeros(k, np.uint64), np.bincount(segment[rare], minlength=k)
+        np.add.at(total, segment[rare], each[rare])
+        signed, spare = _mix(total + place)[count > 0], most // 4 - int((count == 0).sum())
+        if spare < 0:
+            whole = np.zeros(k, np.uint64)
+            np.add.at(whole, segment, each)
+            signed = np.concatenate([signed, _mix(whole + place + np.uint64(0xABCDEF))])
+        out.append((signed, np.full(len(signed), at, np.int32), np.full(len(signed), max(0, spare), np.int32)))
     h, at, spare = (np.concatenate(x) for x in zip(*out))
     return h.view(np.int64), at, spare
 
@@ -101,21 +110,22 @@ def token_groups(sets: list[np.ndarray], need: int = NEED, of: int = OF) -> list
 
     every, place = np.unique(np.concatenate(sets), return_inverse=True)
     ids = np.split(place.reshape(-1), np.cumsum([len(s) for s in sets])[:-1])
-    rows: list[list[int]] = [[] for _ in range(len(every))]      # the matrix, by token: groups whose union has it
-    unions, members = [], []
+    often = np.bincount(place.reshape(-1), minlength=len(every)) > 1     # a token of one set only is in no overlap
+    rows: dict[int, list[int]] = defaultdict(list)               # the matrix, by token: groups whose union has it
+    members: list[list[int]] = []
     mark = np.zeros(len(every), bool)
     for x in sorted(range(len(sets)), key=lambda i: len(sets[i])):
-        mine = ids[x].tolist()
+        mine = ids[x][often[ids[x]]].tolist()
         mark[ids[x]] = True
-        bound = np.bincount(np.array([g for t in mine for g in rows[t]], np.int64), minlength=len(members))
+        bound = np.bincount(np.array([g for t in mine for g in rows.get(t, ())], np.int64), minlength=len(members))
         joined = None
         for g in np.argsort(-bound, kind="stable").tolist():
-            if of * int(bound[g]) < need * len(mine):
+            if of * int(bound[g]) < need * len(ids[x]):
                 break                                            # no member can overlap enough
             if joined is not None and root(members[g][0]) == root(x):
                 continue
             for y in members[g]:                                 # the leader first
-                if linked(len(mine), len(ids[y]), int(mark[ids[y]].sum()), need, of):
+                if linked(len(ids[x]), len(ids[y]), int(mark[ids[y]].sum()), need, of):
                     if y == members[g][0] and joined is None:
                         joined = g
                     a, b = root(x), root(y)
@@ -125,11 +135,10 @@ def token_groups(sets: list[np.ndarray], need: int = NEED, of: int = OF) -> list
         if joined is None:
             joined = len(members)
             members.append([])
-            unions.append(set())
+        fresh = not members[joined]
         members[joined].append(x)
         for t in mine:
-            if t not in unions[joined]:
-                unions[joined].add(t)
+            if fresh or joined not in rows[t]:
                 rows[t].append(joined)
     return [root(i) for i in range(len(sets))]
 
@@ -200,6 +209,25 @@ def _compare_large(rows: DataFrame, need: int, of: int) -> DataFrame:
         done = store.materialize(done.unionByName(spark.createDataFrame([(p[1],) for p in pivots], "c long")))
 
 
+def shared_passages(slim: DataFrame, k: int) -> np.ndarray:
+    """Shingles that two classes of a sample have in common, sorted. The sample (``SAMPLE``
+    texts of at most ``SAMPLE_CHARS`` code points, by text hash) only steers how well
+    signatures tell documents apart; what is linked does not depend on it."""
+    few = slim.where(F.length("text").between(1, SAMPLE_CHARS)).select("t").distinct().orderBy("t").limit(SAMPLE)
+    cut = few.agg(F.max("t")).first()[0]
+    if cut is None:
+        return np.zeros(0, np.uint64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for x in b["text"]:
+                yield pd.DataFrame({"h": shingles(x, k).view(np.int64)})
+
+    texts = slim.where((F.col("t") <= cut) & F.length("text").between(1, SAMPLE_CHARS)).groupBy("t").agg(F.first("text").alias("text")).select("text")
+    found = texts.mapInPandas(run, "h long").groupBy("h").count().where("count > 1").select("h").limit(SAMPLE_TOKENS).toArrow()
+    return np.sort(found["h"].to_numpy().view(np.uint64))
+
+
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, need: int = NEED, of: int = OF) -> DataFrame:
     """One row per input row: key, n_shingles, class_id (hash of the set), component_id
     (least key reachable by links; a row without shingles is its own), text_hash.
@@ -215,6 +243,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
     t = F.col(text).cast("string")
     slim = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_MAX)).alias("o"), F.xxhash64(t).alias("t"), t.alias("text"))
 
+    known = shared_passages(slim, k)
+
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingles(x, k) for x in b["text"]]
@@ -229,7 +259,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
                     c = class_of(tokens)
                     if len(tokens) and c not in seen:           # copies in one task sign once
                         seen.add(c)
-                        h, at, spare = signatures(tokens, need, of)
+                        h, at, spare = signatures(tokens, need, of, known)
                         yield {"h": h, "c": c, "at": at, "spare": spare}
                 if len(seen) > 200_000:
                     seen.clear()
