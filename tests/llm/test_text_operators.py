@@ -89,6 +89,25 @@ def test_pii_matches_patterns(spark):
     assert added == {"iban", "ssn"}
 
 
+def test_pii_finds_each_claimed_kind():
+    def found(text, kind):
+        return [text[a:b] for k, a, b, _ in pii.find(text) if k == kind]
+    texts = {"email": "write to a.b@c.org", "ip": "from 10.20.30.40", "card": "4111 1111 1111 1111", "phone": "+49 30 1234567", "iban": "GB82 WEST 1234 5698 7654 32",
+             "ssn": "social security 123-45-6789", "passport": "Passport no. C12345678, issued"}
+    assert set(texts) == set(pii.KINDS)
+    assert all(len(found(t, k)) == 1 for k, t in texts.items())
+    assert found("Reisepass AB1234567", "passport") == ["AB1234567"]
+    assert not found("part C12345678 in stock", "passport") and not found("number 123-45-6789", "ssn")
+    ibans = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874", "SE45 5000 0000 0583 9825 7466",
+             "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606"]
+    for iban in ibans:
+        for one in (iban, iban.replace(" ", "")):
+            for text in (f"IBAN {one} BIC CAIXESBB", f"IBAN {one} EUR", f"order and invoice {one}", f"{one} 1234", f"to {one}.", f"AB12 {one}", one):
+                assert found(text, "iban") == [one], text
+    assert found(" ".join(ibans), "iban") == ibans
+    assert not found("IBAN BE68 5390 0754 7035 EUR", "iban")
+
+
 def test_pii_cases(spark):
     out = pii.report(fixtures.documents(spark)).collect()
     assert len(out) == len(fixtures.rows())
