@@ -26,6 +26,10 @@ BOILER_TAGS = frozenset("head nav header footer aside form button menu dialog fi
 CONTENT_TAGS = frozenset(("article", "main"))
 BOILER_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar widget footer header masthead comment comments reply replies disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended pagination pager toolbar copyright legal complementary contentinfo hidden skip".split())
 CONTENT_WORDS = frozenset("article content post entry story main".split())
+# First words of compound names whose last word says what the element is (site-footer); others (with-sidebar, overflow-hidden) tell of a layout or state.
+PLACES = frozenset("site page main global top bottom left right primary secondary sub post entry article blog user reader google inline mobile desktop sticky floating social cookie newsletter email g c js widget block section".split())
+STATES = frozenset("open opened closed free enabled disabled active inactive on off fixed visible collapsed expanded".split())     # last words of names that tell of a state (comments-open)
+CLOSES_P = frozenset("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 TAG_CLASSES = frozenset("p b br a li ul ol div span section table tr td th h1 h2 h3 h4 h5 h6 img input label option blockquote pre figure article main nav header footer aside form".split())
 
@@ -36,31 +40,78 @@ _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _WORDS = re.compile(r"[a-z]+")
 
 
+def _boiler_name(words: list[str], in_content: bool) -> bool:
+    """Whether a class, id or role name, as its words, names boilerplate: a listed word
+    by itself or first (ad-slot, comments-area), or last after a place (site-footer)."""
+    listed = lambda w: w in BOILER_WORDS and not (w == "header" and in_content)
+    if len(words) < 2:
+        return bool(words) and listed(words[0])
+    if words[-1] in STATES:
+        return False
+    return (listed(words[0]) and words[0] != "hidden") or (listed(words[-1]) and words[0] in PLACES)
+
+
 def _kind(name: str, attributes: str, in_content: bool) -> str:
-    """'boiler', 'content' or '' for an element by its name and its class, id and role words."""
+    """'boiler' (by its element name), 'named' (boilerplate by class, id or role), 'both' (an
+    article that is named so), 'content' or '' for an element. Whole names are judged, not any
+    word in them; main, and an article or block with a content name, is content whatever else it is named."""
     if name in BOILER_TAGS and not (name == "header" and in_content):
         return "boiler"
     if name in ("body", "html"):
         return ""
-    words = {w for m in _NAMED.finditer(attributes) for w in _WORDS.findall("".join(filter(None, m.groups())).lower())} if "=" in attributes else set()
-    if words & (BOILER_WORDS - ({"header"} if in_content else set())):
-        return "boiler"
-    return "content" if name in CONTENT_TAGS or (words & CONTENT_WORDS and name in ("div", "section", "td")) else ""
+    names = [_WORDS.findall(n) for m in _NAMED.finditer(attributes) for n in "".join(filter(None, m.groups())).lower().split()] if "=" in attributes else []
+    boiler = any(_boiler_name(n, in_content) for n in names)
+    named = any(CONTENT_WORDS.intersection(n) and not BOILER_WORDS.intersection(n) for n in names)
+    if name == "main" or (name in ("article", "div", "section", "td") and named):
+        return "content"
+    if name == "article":
+        return "both" if boiler else "content"
+    return "named" if boiler else ""
 
 
 def tokens(page: str | None) -> list[tuple[str, str, str]]:
     """(class, context, text) in page order. Text tokens have class 'w'; tags have
     their name (or 'other') and no text. The context says where a token stands:
     'content', 'inner' (boilerplate inside content), 'boiler' or 'plain'. Null
-    counts as empty; broken markup ends where the page ends."""
-    out, stack, page, at = [], [], page or "", 0
-
-    def context() -> str:
-        kinds = [k for _, k in stack]
-        boiler = "boiler" in kinds
-        if "content" in kinds and (not boiler or kinds.index("content") < kinds.index("boiler")):
-            return "inner" if boiler else "content"
-        return "boiler" if boiler else "plain"
+    counts as empty; broken markup ends where the page ends.
+
+    Content wins over elements around it that are boilerplate by name only: main always,
+    an article where none came before that element, other content outside content.
+    An article that is itself named boilerplate (a comment) is content where nothing around it is either."""
+    out, page, at = [], page or "", 0
+    stack: list[tuple[str, str, str, int]] = []         # name, kind, context, lock: 1 no article, 2 nothing can be content inside
+    seen = False                                        # an article, or other content as a whole
+
+    def top() -> tuple[str, int]:
+        return stack[-1][2:] if stack else ("plain", 0)
+
+    def push(name: str, kind: str) -> None:
+        nonlocal seen
+        now, lock = top()
+        if kind == "both":
+            kind = "content" if now == "plain" else "named"
+        if kind == "content" and (now in ("plain", "content") or (lock < 2 if name == "main" else lock == 0 and (name == "article" or now == "boiler"))):
+            now = "content"
+            seen = seen or name == "article"
+        elif kind in ("boiler", "named"):
+            now = "inner" if now in ("content", "inner") else "boiler"
+            lock = max(lock, 2 if kind == "boiler" else int(seen))
+        stack.append((name, kind, now, lock))
+
+    def pop(name: str) -> None:
+        nonlocal seen
+        while stack:
+            n, kind, where, _ = stack.pop()
+            seen = seen or (kind == "content" and where == "content" and n != "main")
+            if n == name:
+                break
+
+    def open_p() -> bool:
+        """Whether a p is open with nothing but inline elements in it."""
+        for n, *_ in reversed(stack):
+            if n not in INLINE:
+                return n == "p"
+        return False
 
     now = "plain"
     for m in _TOKEN.finditer(page):
@@ -75,14 +126,17 @@ def tokens(page: str | None) -> list[tuple[str, str, str]]:
         if not closing:
             if name == "body":
                 stack.clear()
-            if name not in VOID and name not in INLINE and name != "p" and not attributes.endswith("/"):
-                stack.append((name, _kind(name, attributes, now == "content")))
-            now = context()
+            if name in CLOSES_P and open_p():
+                pop("p")
+            if name not in VOID and not attributes.endswith("/"):
+                kind = _kind(name, attributes, top()[0] == "content")
+                if name not in INLINE or kind == "named" or any(n == name for n, *_ in stack):
+                    push(name, kind)
+            now = top()[0]
         out.append((name, now, ""))
-        if closing and any(n == name for n, _ in stack):
-            while stack.pop()[0] != name:
-                pass
-            now = context()
+        if closing and any(n == name for n, *_ in stack):
+            pop(name)
+            now = top()[0]
     if at < len(page):
         out.append(("w", now, page[at:]))
     return out

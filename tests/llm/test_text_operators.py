@@ -208,6 +208,36 @@ def test_main_text(spark):
     assert html.report(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_main_text_among_class_names():
+    weights = {marked: html._weights({}, marked) for marked in (True, False)}
+    text = "many words of the story " * 8
+    want = " ".join(text.split())
+    around = ["<div class='page with-sidebar'>{}</div>", "<div class='layout sidebar'><div>{}</div></div>", "<div id='content'><div class='comments-open sidebar-left'>{}</div></div>",
+              "<body class='menu ad'><div class='overflow-hidden has-ads'>{}</div></body>", "<main><div class='social'>{}</div></main>"]
+    inside = [f"<article class='post has-comments'><p>{text}</p></article>", f"<article><p>{text}</p></article>", f"<article class='post comments'>{text}</article>",
+              f"<div class='post no-ads'>{text}</div>"]
+    for a in around:
+        for i in inside if "<main>" not in a and "id=" not in a else inside[:3]:
+            assert html.extract(a.format(i), weights) == want, (a, i)
+    for page in (f"<main class='no-sidebar'>{text}</main>", f"<div class='sidebar'><main class='sidebar'>{text}</main></div>", f"<article class='notice'>{text}</article>",
+                 f"<div class='wrap with-sidebar'><p>{text}</p></div>"):
+        assert html.extract(page, weights) == want, page
+
+
+def test_main_text_without_named_boilerplate():
+    weights = {marked: html._weights({}, marked) for marked in (True, False)}
+    text = "many words of the story " * 8
+    want = " ".join(text.split())
+    for junk in ("<p class='advert'>buy this", "<p class='advert'>buy <b>this</b></p>", "<span class='ad'>buy <span>this</span> now</span>", "<a class='share-link' href=x>buy</a>",
+                 "<div class='comments'><article class='comment'>me too</article></div>", "<section class='related'><article>another story</article></section>",
+                 "<div class='post-comments'>me too</div>", "<div class='ad-slot'><div><p>buy</div></div>", "<aside><article>more</article></aside>",
+                 "<div class='site-footer'><div class='content'>legal</div></div>"):
+        for page in (f"<article><p>{text}</p>{junk}<p>{text}</article>", f"<main><article><p>{text}</p><p>{text}</p></article>{junk}</main>",
+                     f"<body><article><p>{text}</p><p>{text}</article>{junk}<div class='footer'>end</div>"):
+            assert html.extract(page, weights) == want + "\n" + want, page
+    assert html.extract(f"<p>{text}</p><p class='notice'>cookies<p>{text}", weights) == want + "\n" + want
+
+
 def test_main_text_of_all_pages(spark):
     import html as entities
     sf = "/root/testdata/sf0.01"
