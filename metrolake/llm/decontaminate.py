@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from metrolake.llm import store
+from metrolake.llm.substrings import once
 
 SEED_WORDS = 5
 COVERED = 0.8               # least share of an item's words under tiles
@@ -104,9 +105,9 @@ def _hits(docs: DataFrame, items: list[tuple[int, list[bytes]]], k: int) -> tupl
     known = np.unique(np.array([r[1] for r in rows], np.int64))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = vocabulary.get
+        number, seen = vocabulary.get, set()
         for b in batches:
-            for key, h, text in zip(b["k"], b["h"], b["t"]):
+            for key, h, text in once(zip(b["k"], b["h"], b["t"]), seen):
                 ids = np.array([number(w, 0) for w in words(text)], np.uint64)
                 for n in lengths:
                     got = rolling(ids, n).view(np.int64)
@@ -118,6 +119,12 @@ def _hits(docs: DataFrame, items: list[tuple[int, list[bytes]]], k: int) -> tupl
     return docs.mapInPandas(scan, "k long, h long, n int, p int, seed long"), seeds
 
 
+def _grouped(hits: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The distinct hits (p, q) of each document and item: those of all copies of a document are the same."""
+    return (hits.join(F.broadcast(seeds), ["n", "seed"]).groupBy("k", "h", "place", "item_id", "item_words", "n")
+            .agg(F.collect_set(F.struct("p", "q")).alias("hits")))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
             k: int = SEED_WORDS, covered: float = COVERED) -> DataFrame:
     """One row per document and test item of which at least ``covered`` of the words
@@ -143,9 +150,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     out = spark.createDataFrame([], "doc_id long, hash long, item_id long, coverage double, n_tiles int, matched_words int")
     for block in _blocks(benchmark, item, text):
         hits, seeds = _hits(slim, block, k)
-        per = (hits.join(F.broadcast(seeds), ["n", "seed"]).groupBy("k", "h", "place", "item_id", "item_words", "n")
-               .agg(F.collect_list(F.struct("p", "q")).alias("hits"))
-               .withColumn("t", tile("n", "hits")))
+        per = _grouped(hits, seeds).withColumn("t", tile("n", "hits"))
         out = out.unionByName(per.select(F.col("k").alias("doc_id"), F.col("h").alias("hash"), "item_id",
                                          (F.col("t")[1] / F.col("item_words")).alias("coverage"),
                                          F.col("t")[0].alias("n_tiles"), F.col("t")[1].alias("matched_words")))

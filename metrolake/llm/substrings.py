@@ -15,6 +15,9 @@ texts that ships only small rows:
    least document by a partial aggregate instead, so no group is large.
 4. Windows with a smaller document elsewhere, and later ones in the same
    document, are merged into maximal intervals of words to remove.
+
+Copies (equal key and text) are one document: a task works on one of them, and
+places are collected as sets, so a group is bounded by one text.
 """
 from __future__ import annotations
 
@@ -103,6 +106,16 @@ def _first(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(order[new]), origin
 
 
+def once(rows: Iterator[tuple], seen: set) -> Iterator[tuple]:
+    """The rows whose first two values (key, text hash) are not in ``seen``, which a task keeps: copies
+    of a document are worked on once a task, so what is shipped for them does not grow with their number."""
+    for row in rows:
+        own = (None if pd.isna(row[0]) else row[0], row[1])
+        if own not in seen:
+            seen.add(own)
+            yield row
+
+
 def _slim(docs: DataFrame, key: str, text: str) -> DataFrame:
     t = F.col(text).cast("string")
     return docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(t).alias("t"), t.alias("text"))
@@ -121,9 +134,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     at holds runs of first starts, as start, end, start, end and so on. ``docs`` has
     k, t (text hash) and text."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for b in batches:
             found = [np.zeros(0, np.uint64)]
-            for text in b["text"]:
+            for _, _, text in once(zip(b["k"], b["t"], b["text"]), seen):
                 g, at = minimizers(word_hashes(_raw(text)), window, gram)
                 found.append(g[np.unique(at)])
             h, n = np.unique(np.concatenate(found).view(np.int64), return_counts=True)
@@ -131,8 +145,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def parts() -> Iterator[dict]:
+            seen = set()
             for b in batches:
-                for k, t, text in zip(b["k"], b["t"], b["text"]):
+                for k, t, text in once(zip(b["k"], b["t"], b["text"]), seen):
                     g, at = minimizers(word_hashes(_raw(text)), window, gram)
                     at = np.unique(at)
                     yield {"h": g[at].view(np.int64), "k": k, "t": t, "p": at.astype(np.int32)}
@@ -141,8 +156,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def parts() -> Iterator[dict]:
+            seen = set()
             for b in batches:
-                for d, text, places in zip(b["d"], b["text"], b["at"]):
+                for d, _, text, places in once(zip(b["d"], b["d"], b["text"], b["at"]), seen):
                     words, places = word_hashes(_raw(text)), np.asarray(places, np.int64)
                     _, least = minimizers(words, window, gram)
                     hot = np.isin(least, -1 - places[places < 0])
@@ -162,10 +178,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
             out.append(np.stack([s[np.r_[0, cut + 1]], s[np.r_[cut, len(s) - 1]] + 1], axis=1).ravel())
         return pd.Series(out, dtype=object)
 
-    twice = store.materialize(docs.select("text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    twice = store.materialize(docs.select("k", "t", "text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
                               .where("n > 1").select("h", (F.col("n") > HOT).alias("hot")))
     found = docs.mapInPandas(place, "h long, k long, t long, p int").join(twice, "h")
-    places = store.materialize(found.groupBy("k", "t").agg(F.collect_list(F.when(F.col("hot"), -1 - F.col("p")).otherwise(F.col("p"))).alias("at")))
+    places = store.materialize(found.groupBy("k", "t").agg(F.collect_set(F.when(F.col("hot"), -1 - F.col("p")).otherwise(F.col("p"))).alias("at")))
     n = store.buckets_for(places.count(), 50_000)
     places = store.materialize(places.repartitionByRange(n, F.asc_nulls_first("k"), "t").sortWithinPartitions(F.asc_nulls_first("k"), "t")
                                .withColumn("d", F.monotonically_increasing_id()))
@@ -175,7 +191,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     later = few.withColumn("nth", F.rank().over(Window.partitionBy("h", "c").orderBy("d"))).where("nth > 1").select("d", "s")
     least = many.groupBy("h", "c").agg(F.min("d").alias("_least"))
     later = later.unionByName(many.join(least, ["h", "c"]).where("d > _least").select("d", "s"))
-    at = later.groupBy("d").agg(F.collect_list("s").alias("s")).select("d", runs("s").alias("at"))
+    at = later.groupBy("d").agg(F.collect_set("s").alias("s")).select("d", runs("s").alias("at"))
     return store.materialize(at.join(places.select("k", "t", "d"), "d"))
 
 

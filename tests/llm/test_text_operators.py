@@ -299,6 +299,14 @@ def test_decontamination_matches_brute_force(spark):
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter((d, t) for d, t, *_ in docs if not any((d, i) in got for i in range(6)) or t == "other text")
 
 
+def test_decontamination_collects_copies_once(spark):
+    text = " ".join(fixtures.words(30, 21))
+    docs = spark.createDataFrame([(None, 1, text)] * 200 + [(2, 2, text)] * 2, "k long, h long, t string").repartition(4)
+    hits, seeds = decontaminate._hits(docs, [(7, decontaminate.words(text))], 5)
+    assert hits.count() <= 4 * 2 * 26
+    assert {(r["k"], len(r["hits"])) for r in decontaminate._grouped(hits, seeds).collect()} == {(None, 26), (2, 26)}
+
+
 def test_decontamination_empty_tables_and_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c d e f"), (2, "b c d e f g"), (3, "q r s t u v")], "item_id long, text string")
