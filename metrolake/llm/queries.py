@@ -1,4 +1,4 @@
-"""The ten registered queries opN_* and the pipeline, with their DuckDB SQL."""
+"""The registered queries opN_* and the pipeline, with their DuckDB SQL."""
 from __future__ import annotations
 
 import uuid
@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from metrolake.llm import decontaminate, html, jaccard, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
+from metrolake.llm import decontaminate, html, jaccard, merkle, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -161,3 +161,63 @@ def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOG["op7_nn_descent"] = (op7_nn_descent, None)
 CATALOG["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, per language and under one root, folded again after tampering."""
+    return merkle.report(_table(spark, sf_dir, "documents"))
+
+
+def _merkle_sql(levels: int = 7, over: int = 3) -> str:
+    """Levels written out one by one: a group of one node stays as it is, without siblings."""
+    def field(x: str) -> str:
+        return f"coalesce(octet_length(encode(({x})::VARCHAR))::VARCHAR || ':' || ({x})::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, depth: int) -> str:
+        out = ""
+        for k in range(depth):
+            w = "PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN"
+            out += f"""
+{name}_s{k} AS (SELECT g, pos, n, coalesce(string_agg(h, '') OVER ({w} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER ({w} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}_n{k}),
+{name}_n{k + 1} AS (SELECT g, pos // 8 AS pos, (any_value(n) + 7) // 8 AS n,
+  CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {name}_n{k} GROUP BY g, pos // 8),"""
+        return out
+
+    def fold(of: str, names: list[str]) -> str:
+        for x in names:
+            of = f"CASE WHEN {x}.n = 1 THEN {of} ELSE sha256({x}.l || {of} || {x}.r) END"
+        return of
+
+    docs, subs = [f"docs_s{k}" for k in range(levels)], [f"subs_s{k}" for k in range(over)]
+    step = lambda froms, start, parts: froms + "".join(f" JOIN {x} ON {x}.g = {start}.g AND {x}.pos = {start}.pos // {8 ** k}" for k, x in enumerate(parts))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, [0,0,0,0,0,0,0,0]::BIGINT[]),
+             lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+leaves AS (SELECT doc_id, coalesce('=' || lang, '-') AS g, {leaf("text")} AS h,
+  CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(doc_id::VARCHAR)), lambda k: ascii(substr(doc_id::VARCHAR, k + 1, 1))::BIGINT)),
+              lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 3 = 0 THEN {leaf(lowered)} END AS tampered
+  FROM documents, crc_table),
+docs_n0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+{tree("docs", levels)}
+subs_n0 AS (SELECT '' AS g, g AS sub, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM docs_n{levels}),
+{tree("subs", over)}
+above AS (SELECT sub, subs_n0.h AS subroot, (SELECT any_value(h) FROM subs_n{over}) AS root, {" || ".join(f"{x}.l || {x}.r" for x in subs)} AS siblings,
+  {", ".join(f"{x}.n AS n{k}, {x}.l AS l{k}, {x}.r AS r{k}" for k, x in enumerate(subs))}
+  FROM {step("subs_n0", "subs_n0", subs)}),
+folded AS (SELECT doc_id, d.h AS leaf, d.g, {" || ".join(f"{x}.l || {x}.r" for x in docs)} AS siblings, {fold("coalesce(tampered, d.h)", docs)} AS f0
+  FROM {step("docs_n0 d", "d", docs)}),
+up AS (SELECT folded.*, subroot, root, above.siblings AS more, n0, l0, r0, {", ".join(f"n{k}, l{k}, r{k}" for k in range(1, over))} FROM folded JOIN above ON sub = folded.g),
+{"".join(f"up{k} AS (SELECT *, CASE WHEN n{k} = 1 THEN f{k} ELSE sha256(l{k} || f{k} || r{k}) END AS f{k + 1} FROM {'up' if k == 0 else f'up{k - 1}'})," for k in range(over)).rstrip(",")}
+SELECT doc_id, leaf, subroot, root, sha256(siblings || more) AS proof_sha256, f{over} AS folded_root, f{over} = root AS verified FROM up{over - 1}
+"""
+
+
+CATALOG["op11_merkle_manifest"] = (op11_merkle_manifest, _merkle_sql())
