@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from metrolake.llm import decontaminate, html, jaccard, merkle, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
+from metrolake.llm import decontaminate, html, jaccard, lines, merkle, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -221,3 +221,25 @@ SELECT doc_id, leaf, subroot, root, sha256(siblings || more) AS proof_sha256, f{
 
 
 CATALOG["op11_merkle_manifest"] = (op11_merkle_manifest, _merkle_sql())
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that at least three documents hold, kept in the largest doc_id only."""
+    out = lines.deduplicate(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT r, doc_id, i, ls[i] AS line,
+  translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM docs, range(1, len(ls) + 1) x(i)),
+hot AS (SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 20 GROUP BY k
+        HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3),
+marked AS (SELECT lines.*, hot.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM lines LEFT JOIN hot ON lines.k = hot.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+CATALOG["op12_line_dedup"] = (op12_line_dedup, OP12_SQL)
