@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from metrolake.llm import decontaminate, html, jaccard, lines, merkle, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
+from metrolake.llm import decontaminate, divergence, html, jaccard, lines, merkle, mixing, neighbours, pii, quality, sharding, store, substrings, tokens
 
 CATALOG: dict[str, tuple] = {}
 
@@ -243,3 +243,34 @@ FROM marked GROUP BY r
 """
 
 CATALOG["op12_line_dedup"] = (op12_line_dedup, OP12_SQL)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every two sources of a language, and each group's fifty terms furthest above its language."""
+    return divergence.Audit(_table(spark, sf_dir, "documents")).report()
+
+
+OP13_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+words AS (SELECT r, lang, source, unnest(ts) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS m FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+vocab AS (SELECT lang, count(*) AS v, sum(m) AS t FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+every AS (SELECT grp.lang, grp.source, kept.term, m, coalesce(n, 0) AS n FROM grp JOIN kept USING (lang) LEFT JOIN found USING (lang, source, term)),
+totals AS (SELECT lang, source, sum(n) AS t FROM every GROUP BY lang, source),
+shares AS (SELECT every.*, 1 + (1000000000::HUGEINT * (n + 5)) // (totals.t + 5 * v) AS p, 1 + (1000000000::HUGEINT * (m + 5)) // (vocab.t + 5 * v) AS q
+  FROM every JOIN totals USING (lang, source) JOIN vocab USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+CATALOG["op13_source_divergence"] = (op13_source_divergence, OP13_SQL)
