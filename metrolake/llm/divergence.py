@@ -16,7 +16,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metrolake.llm import store
@@ -25,7 +26,8 @@ SCALE = 1_000_000_000
 ADD = 5
 MIN_DOCS = 30             # documents of a language that hold a kept term
 TOP = 50                  # ranks of the term part
-HELD = 200_000            # terms that a task sums up before it hands them on
+HELD = 500_000            # terms that a task sums up before it hands them on
+DOC = 2**32               # a document's part in a sum that holds occurrences too; with at most 2**30 of them before a flush both fit a long
 
 #: Bytes of a text as term bytes: A-Z lower-cased, other letters and all bytes of characters beyond ASCII as they are, else a space.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -39,32 +41,37 @@ def terms(text: str | None) -> list[bytes]:
 def counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of every term in every group, and a row with
     a null term for each group. Null lang and source read as ''. Tasks sum up many documents before the shuffle."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, tuple[Counter, Counter]] = {}
-
-        def flush() -> pd.DataFrame:
-            rows = [(*g, t.decode("utf-8", "surrogatepass"), k, df[t]) for g, (n, df) in held.items() for t, k in n.items()]
-            rows += [(*g, None, 0, 0) for g in held]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, dict[bytes, int]] = {}      # of a group: occurrences, and DOC for each document
+
+        def flush() -> pa.RecordBatch:
+            words = [t for own in held.values() for t in (None, *own)]
+            both = np.array([v for own in held.values() for v in (0, *own.values())], np.int64)
+            sizes = [len(own) + 1 for own in held.values()]
+            repeated = lambda i: pa.array([g[i] for g in held]).cast(pa.string()).take(pa.array(np.repeat(np.arange(len(held)), sizes)))
+            out = pa.RecordBatch.from_arrays([repeated(0), repeated(1), pa.array(words, pa.binary()).cast(pa.string()), pa.array(both % DOC), pa.array(both // DOC)],
+                                             names=["lang", "source", "term", "n", "docs"])
             held.clear()
-            return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
+            return out
 
-        size = 0
+        size = occurrences = 0
         for b in batches:
-            for language, name, text in zip(b["lang"], b["source"], b["text"]):
-                n, df = held.setdefault((language, name), (Counter(), Counter()))
-                before, one = len(n), Counter(terms(text))
-                n.update(one)
-                df.update(one.keys())
-                size += len(n) - before
-                if size >= HELD:
+            for language, name, text in zip(*[c.to_pylist() for c in b.columns]):
+                own = held.setdefault((language, name), {})
+                before, one = len(own), Counter(terms(text))
+                for t, n in one.items():
+                    own[t] = own.get(t, 0) + n + DOC
+                size += len(own) - before
+                occurrences += sum(one.values())
+                if size >= HELD or occurrences >= DOC // 4:
                     yield flush()
-                    size = 0
+                    size = occurrences = 0
         if held:
             yield flush()
 
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     slim = docs.select(empty(lang).alias("lang"), empty(source).alias("source"), F.col(text).cast("string").alias("text"))
-    return (slim.mapInPandas(run, "lang string, source string, term string, n long, docs long")
+    return (slim.mapInArrow(run, "lang string, source string, term string, n long, docs long")
             .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
