@@ -69,7 +69,7 @@ class Runs:
 
     def _sorted(self, rows: DataFrame) -> str:
         name = f"run_{uuid.uuid4().hex}"
-        (rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy(*HASH)
+        (rows.repartition(self.buckets, *HASH).write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
          .option("path", f"{self.folder}/{name}").saveAsTable(name))
         return name
 
