@@ -15,6 +15,7 @@ from metrolake import oracle as O
 from metrolake.operators import marts as M
 from metrolake.operators import normalize as N
 from metrolake.plans import catalog_reconcile as B
+from metrolake.plans import delta
 from metrolake.plans import silver as SV
 from metrolake.plans.catalog import L_WIDTH, _dense_hist_sql, register, tl, we
 from metrolake.session import checkpoint_dir
@@ -62,7 +63,7 @@ def q_a20_late(spark, d):
     run = run_dir(spark)
     files = R.discover_files(spark, _named_files(spark, d, run))
     entries = SV.manifest_entries_for(files, "trips")
-    early = files.where(F.regexp_extract("name", "^part([0-9]+)_", 1).cast("int") % 3 != 0)
+    early = _early(files)
     silver = f"{run}/silver/trips"
     SV.build_trips(spark, early, entries, silver, limit_batches=1)
     SV.build_trips(spark, early, entries, silver)
@@ -72,6 +73,44 @@ def q_a20_late(spark, d):
     return L.read_silver_trips(spark, silver)
 
 
+# Marts of the stored rollups in one table: a row per mart and key, with its number of trips.
+DELTA_SQL = "WITH silver AS (" + B._union_sql(False) + ") " + " UNION ALL ".join([
+    "SELECT 'timeline' AS mart, year AS annee, month AS a, CAST(NULL AS INT) AS b, vehicle_type AS label, count(*) AS n FROM silver GROUP BY ALL",
+    "SELECT 'flows', year, pulocation_id, dolocation_id, vehicle_type, count(*) FROM silver WHERE pulocation_id IS NOT NULL AND dolocation_id IS NOT NULL GROUP BY ALL",
+    "SELECT 'heatmap', year, CAST(isodow(pickup_ts) - 1 AS INT), CAST(hour(pickup_ts) AS INT), vehicle_type, count(*) FROM silver GROUP BY ALL",
+    "SELECT 'distance', year, NULL, NULL, " + O.distance_band_sql("trip_distance") + ", count(*) FROM silver WHERE trip_distance > 0 AND total_amount IS NOT NULL GROUP BY ALL"])
+
+
+def delta_marts(stored):
+    """The marts of DELTA_SQL from rollups."""
+    none = F.lit(None).cast("int")
+    shape = lambda df, mart, *cols: df.select(F.lit(mart).alias("mart"), *[c.alias(n) for c, n in zip(cols, ["annee", "a", "b", "label", "n"])])
+    flows = stored._zoned().groupBy("year", "pulocation_id", "dolocation_id", "vehicle_type").agg(F.sum("n").alias("n"))
+    return (shape(stored.monthly_timeline(), "timeline", F.col("annee"), F.col("mois"), none, F.col("vehicle"), F.col("courses"))
+            .unionByName(shape(flows, "flows", F.col("year"), F.col("pulocation_id"), F.col("dolocation_id"), F.col("vehicle_type"), F.col("n")))
+            .unionByName(shape(stored.heatmap_counts(), "heatmap", F.col("annee"), F.col("jour"), F.col("heure"), F.col("vehicle_type"), F.col("courses")))
+            .unionByName(shape(stored.price_by_distance(), "distance", F.col("annee"), none, none, F.col("bande"), F.col("courses"))))
+
+
+def _early(files):
+    return files.where(F.regexp_extract("name", "^part([0-9]+)_", 1).cast("int") % 3 != 0)
+
+
+@register("R_delta_late_file", DELTA_SQL)
+def q_r_delta(spark, d):
+    """Rollups refreshed after a first ingestion and again after late files: the marts of all trips."""
+    run = run_dir(spark)
+    files = R.discover_files(spark, _named_files(spark, d, run))
+    entries, silver = SV.manifest_entries_for(files, "trips"), f"{run}/silver/trips"
+    stored = delta.StoredRollups(spark, silver, f"{run}/rollups", width=L_WIDTH)
+    for part in (_early(files), files):
+        SV.build_trips(spark, part, entries, silver)
+        stored.refresh()
+    if stored.refresh():
+        raise RuntimeError("a refresh without new files found some")
+    return delta_marts(stored)
+
+
 def _silver(spark, d):
     run = run_dir(spark)
     t = _write_raw(spark, d, run)
