@@ -28,6 +28,7 @@ from metrolake.llm.substrings import _mix, _raw, windows, word_hashes
 SHINGLE = 3
 NEED, OF = 90, 100                      # linked when OF * intersection >= NEED * union
 GROUP_TOKENS = 8_000_000                # most tokens of a set that one task compares; larger sets are spread
+SPLITS = (16, 4)                        # members that a token needs to be left out, round by round, when a larger set is signed again
 PIVOTS = 64                             # documents of a larger set that are compared with all of it at once
 BROADCAST_ROWS = 2_000_000
 COMMON = 64                             # a signature of more classes is common; documents with enough others do without it
@@ -209,6 +210,59 @@ def _compare_large(rows: DataFrame, need: int, of: int) -> DataFrame:
         done = store.materialize(done.unionByName(spark.createDataFrame([(p[1],) for p in pivots], "c long")))
 
 
+def _sets(signed: DataFrame) -> DataFrame:
+    """(c, g) of the classes that share a signature with another: g is the least class of those that
+    signatures connect. ``signed`` has h, c, at and spare."""
+    shared = store.materialize(signed.groupBy("h").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("m"))
+                               .where("_lo < _hi").select("h", (F.col("m") > COMMON).alias("common")))
+    small = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
+    met = store.materialize(signed.join(small, "h").distinct())
+    spared = (met.groupBy("c", "at").agg(F.sum(F.col("common").cast("int")).alias("_n"), F.min("spare").alias("_s"))
+              .where("_n > 0 and _n <= _s").select("c", "at", F.lit(True).alias("common")))
+    met = store.materialize(met.join(spared, ["c", "at", "common"], "left_anti").select("h", "c"))
+    lead = met.groupBy("h").agg(F.min("c").alias("lead"))
+    edges = store.materialize(met.join(lead, "h").where("c > lead").select(F.col("c").alias("a"), F.col("lead").alias("b")).distinct())
+    return graph.components(edges).select(F.col("v").alias("c"), F.col("label").alias("g"))
+
+
+def _split_large(rows: DataFrame, need: int, of: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of ``rows`` (g, c, tokens), signed again: (sets within the bound, sets still above it).
+
+    A set of unlike documents hangs together by tokens that many of its members have. Those are
+    counted over all members, and signatures without them, hashed with their set, part it; a
+    link shares a signature whatever tokens are left out, so no linked pair is parted.
+    Round by round the tokens of fewer members are left out, the most frequent first."""
+    done = rows.where("false")
+    for often in SPLITS:
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(_decode, b["tokens"])]), return_counts=True)
+                yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+
+        frequent = (rows.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > often)
+                    .orderBy(F.desc("n"), "h").limit(SAMPLE_TOKENS).select("h").toArrow())
+        known = np.sort(frequent["h"].to_numpy().view(np.uint64))
+
+        def sign(batches: Iterator[pd.DataFrame], known: np.ndarray = known) -> Iterator[pd.DataFrame]:
+            def parts() -> Iterator[dict]:
+                for b in batches:
+                    for g, c, raw in zip(b["g"], b["c"], b["tokens"]):
+                        h, at, spare = signatures(_decode(raw), need, of, known)
+                        yield {"h": _mix(h.view(np.uint64) ^ np.uint64(int(g) & (2**64 - 1))).view(np.int64), "c": c, "at": at, "spare": spare}
+
+            return store.gather(parts())
+
+        sets = _sets(rows.mapInPandas(sign, "h long, c long, at int, spare int"))
+        again = store.materialize(rows.drop("g").join(sets, "c"))
+        weight = again.groupBy("g").agg(F.sum(F.length("tokens") / 8).alias("_w")).withColumn("_large", F.col("_w") > GROUP_TOKENS).drop("_w")
+        again = again.join(weight, "g").select("g", "c", "tokens", "_large")
+        done = done.unionByName(again.where("not _large").drop("_large"))
+        rows = store.materialize(again.where("_large").drop("_large"))
+        if not rows.limit(1).count():
+            break
+    return done, rows
+
+
 def shared_passages(slim: DataFrame, k: int) -> np.ndarray:
     """Shingles that two classes of a sample have in common, sorted. The sample (``SAMPLE``
     texts of at most ``SAMPLE_CHARS`` code points, by text hash) only steers how well
@@ -235,7 +289,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
     Signatures are counted with partial aggregates; those of one class only are
     dropped; the rest joins each class to its signature's least class, and the
     components of these pairs are the sets to compare, so no signature's classes
-    are paired off. Only classes in such sets are read again for their tokens.
+    are paired off. A set too large for one task is signed again without the tokens that
+    many of its members have, which parts it. Only classes in such sets are read again for their tokens.
     Copies share a class, so they are never compared; a null key stands after
     all others and is a component's id only where all its keys are null; rows
     repeated, extra columns and empty tables need no special care."""
@@ -267,17 +322,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
         return store.gather(parts())
 
     described = store.materialize(slim.mapInPandas(describe, "o long, t long, c long, n long"))
-    signed = slim.select("text").mapInPandas(sign, "h long, c long, at int, spare int")
-    shared = store.materialize(signed.groupBy("h").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi"), F.count("*").alias("m"))
-                               .where("_lo < _hi").select("h", (F.col("m") > COMMON).alias("common")))
-    small = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
-    met = store.materialize(signed.join(small, "h").distinct())
-    spared = (met.groupBy("c", "at").agg(F.sum(F.col("common").cast("int")).alias("_n"), F.min("spare").alias("_s"))
-              .where("_n > 0 and _n <= _s").select("c", "at", F.lit(True).alias("common")))
-    met = store.materialize(met.join(spared, ["c", "at", "common"], "left_anti").select("h", "c"))
-    lead = met.groupBy("h").agg(F.min("c").alias("lead"))
-    edges = store.materialize(met.join(lead, "h").where("c > lead").select(F.col("c").alias("a"), F.col("lead").alias("b")).distinct())
-    sets = graph.components(edges).select(F.col("v").alias("c"), F.col("label").alias("g"))
+    sets = _sets(slim.select("text").mapInPandas(sign, "h long, c long, at int, spare int"))
 
     least = described.join(sets, "c").groupBy("c", "g", "n").agg(F.min("o").alias("o"))
     chosen = (described.select("c", "o", "t").join(least, ["c", "o"]).groupBy("c", "g", "n", "o").agg(F.min("t").alias("t")))
@@ -293,7 +338,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
         .mapInPandas(read, "g long, c long, large boolean, tokens binary")
     labels = _compare_sets(tokens.where("not large").select("g", "c", "tokens"), need, of)
     if chosen.where("large").limit(1).count():
-        labels = labels.unionByName(_compare_large(tokens.where("large").select("g", "c", "tokens"), need, of))
+        parted, rest = _split_large(store.materialize(tokens.where("large").select("g", "c", "tokens")), need, of)
+        labels = labels.unionByName(_compare_sets(parted, need, of))
+        if rest.limit(1).count():
+            labels = labels.unionByName(_compare_large(rest, need, of))
     labels = store.materialize(labels)
 
     firsts = described.where("n > 0").groupBy("c").agg(F.min("o").alias("first"))
