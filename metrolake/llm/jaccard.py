@@ -232,15 +232,15 @@ def _split_large(rows: DataFrame, need: int, of: int) -> tuple[DataFrame, DataFr
     counted over all members, and signatures without them, hashed with their set, part it; a
     link shares a signature whatever tokens are left out, so no linked pair is parted.
     Round by round the tokens of fewer members are left out, the most frequent first."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(_decode, b["tokens"])]), return_counts=True)
+            yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+
     done = rows.where("false")
+    counts = store.materialize(rows.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > min(SPLITS)))
     for often in SPLITS:
-        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(_decode, b["tokens"])]), return_counts=True)
-                yield pd.DataFrame({"h": h.view(np.int64), "n": n})
-
-        frequent = (rows.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > often)
-                    .orderBy(F.desc("n"), "h").limit(SAMPLE_TOKENS).select("h").toArrow())
+        frequent = counts.where(F.col("n") > often).orderBy(F.desc("n"), "h").limit(SAMPLE_TOKENS).select("h").toArrow()
         known = np.sort(frequent["h"].to_numpy().view(np.uint64))
 
         def sign(batches: Iterator[pd.DataFrame], known: np.ndarray = known) -> Iterator[pd.DataFrame]:
@@ -253,11 +253,12 @@ def _split_large(rows: DataFrame, need: int, of: int) -> tuple[DataFrame, DataFr
             return store.gather(parts())
 
         sets = _sets(rows.mapInPandas(sign, "h long, c long, at int, spare int"))
-        again = store.materialize(rows.drop("g").join(sets, "c"))
-        weight = again.groupBy("g").agg(F.sum(F.length("tokens") / 8).alias("_w")).withColumn("_large", F.col("_w") > GROUP_TOKENS).drop("_w")
-        again = again.join(weight, "g").select("g", "c", "tokens", "_large")
+        sizes = rows.select("c", (F.length("tokens") / 8).alias("n")).join(sets, "c")
+        weight = sizes.groupBy("g").agg((F.sum("n") > GROUP_TOKENS).alias("_large"))
+        parts = store.materialize(sizes.select("c", "g").join(weight, "g"))
+        again = store.materialize(rows.drop("g").join(F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts, "c").select("g", "c", "tokens", "_large"))
         done = done.unionByName(again.where("not _large").drop("_large"))
-        rows = store.materialize(again.where("_large").drop("_large"))
+        rows = again.where("_large").drop("_large")
         if not rows.limit(1).count():
             break
     return done, rows
