@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, functions as F
 from metrolake import constants as K
 from metrolake import oracle as O
 from metrolake.operators import manifest as A
-from metrolake.plans import gold
+from metrolake.plans import gold, silver as SV
 from metrolake.plans.catalog import register, te, tl, we
 from metrolake.session import checkpoint_dir
+from metrolake.schemas import TRIP_SCHEMA
+from metrolake.sources import lake as L
 from metrolake.sources import raw as R
 from metrolake.sources import surrogates as S
 
@@ -37,17 +39,26 @@ def listing(spark, d) -> DataFrame:
                     "size", "vehicle_type", "year", "month", name.alias("name"))
 
 
-def _prev(spark, d):
-    return listing(spark, d).filter(F.col("year") <= MANIFEST_UNTIL)
+def listed(spark, d) -> DataFrame:
+    """The listing as a small written table (a row per file), so a query that uses it several times scans the trips once."""
+    return gold.materialize(listing(spark, d), f"{_run_dir(spark)}/listing")
 
 
-def _store(spark, d):
-    return listing(spark, d).filter(F.col("year") <= STORE_UNTIL).select("key")
+def _run_dir(spark) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/metrolake-runs/{uuid.uuid4().hex}"
 
 
-def _merged(spark, d):
-    cls = A.classify(listing(spark, d), _prev(spark, d), _store(spark, d))
-    return A.merge_entries(_prev(spark, d), cls.filter(F.col("status") != "skipped"))
+def _prev(files):
+    return files.filter(F.col("year") <= MANIFEST_UNTIL)
+
+
+def _store(files):
+    return files.filter(F.col("year") <= STORE_UNTIL).select("key")
+
+
+def _merged(files):
+    cls = A.classify(files, _prev(files), _store(files))
+    return A.merge_entries(_prev(files), cls.filter(F.col("status") != "skipped"))
 
 
 # ------------------------------------------------------------------ SQL side
@@ -87,17 +98,19 @@ def q_a10(spark, d):
 @register("A11_new_files", BASE + "SELECT key, size, vehicle_type, year, month FROM listing "
           "WHERE key NOT IN (SELECT key FROM prev)")
 def q_a11(spark, d):
-    return A.new_files(listing(spark, d), _prev(spark, d)).select(*A.ENTRY_COLS)
+    files = listed(spark, d)
+    return A.new_files(files, _prev(files)).select(*A.ENTRY_COLS)
 
 
 @register("A12_classify_skip_heal_new", BASE + "SELECT key, size, vehicle_type, year, month, status FROM cls")
 def q_a12(spark, d):
-    return A.classify(listing(spark, d), _prev(spark, d), _store(spark, d)).select(*A.ENTRY_COLS, "status")
+    files = listed(spark, d)
+    return A.classify(files, _prev(files), _store(files)).select(*A.ENTRY_COLS, "status")
 
 
 @register("A13_merged_manifest", BASE + "SELECT * FROM merged")
 def q_a13(spark, d):
-    return _merged(spark, d)
+    return _merged(listed(spark, d))
 
 
 @register("A13_manifest_summary", BASE +
@@ -105,7 +118,7 @@ def q_a13(spark, d):
           "false AS sample_mode, CAST(to_json(list(DISTINCT year ORDER BY year)) AS VARCHAR) AS trip_years, "
           "CAST(sum(size) AS BIGINT) AS taille_octets, CAST(count(*) AS BIGINT) AS fichiers FROM merged")
 def q_a13b(spark, d):
-    return A.summarize(_merged(spark, d), DATASET).withColumn("trip_years", F.to_json("trip_years"))
+    return A.summarize(_merged(listed(spark, d)), DATASET).withColumn("trip_years", F.to_json("trip_years"))
 
 
 @register("A14_sample_first_files", BASE +
@@ -119,19 +132,19 @@ def q_a14(spark, d):
           "SELECT vehicle_type, min(year * 100 + month) AS premier_mois, max(year * 100 + month) AS dernier_mois, "
           "CAST(count(*) AS BIGINT) AS fichiers FROM merged GROUP BY vehicle_type")
 def q_a15(spark, d):
-    return A.coverage_by_vehicle(_merged(spark, d))
+    return A.coverage_by_vehicle(_merged(listed(spark, d)))
 
 
 @register("A15_month_present", BASE +
           "SELECT count(*) FILTER (WHERE vehicle_type = 'yellow' AND year = 1999 AND month = 1) > 0 AS present "
           "FROM merged")
 def q_a15b(spark, d):
-    return A.is_present(_merged(spark, d), "yellow", 1999, 1)
+    return A.is_present(_merged(listed(spark, d)), "yellow", 1999, 1)
 
 
 @register("A16_months_covered", BASE + "SELECT DISTINCT year, month FROM merged")
 def q_a16(spark, d):
-    return A.months_covered(_merged(spark, d))
+    return A.months_covered(_merged(listed(spark, d)))
 
 
 HAVE_WEATHER = ("have AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year, "
@@ -146,12 +159,12 @@ def _have_weather(spark, d):
 @register("A17_weather_months_missing", O.with_views(["trips_l"], LISTING, PREV, STORE, CLS, MERGED, HAVE_WEATHER) +
           "SELECT DISTINCT year, month FROM merged WHERE (year, month) NOT IN (SELECT (year, month) FROM have)")
 def q_a17(spark, d):
-    return A.missing_months(A.months_covered(_merged(spark, d)), _have_weather(spark, d))
+    return A.missing_months(A.months_covered(_merged(listed(spark, d))), _have_weather(spark, d))
 
 
 @register("A18_year_restriction", BASE + "SELECT DISTINCT year, month FROM merged WHERE year IN (1999, 2000)")
 def q_a18(spark, d):
-    return A.restrict_years(A.months_covered(_merged(spark, d)), [1999, 2000])
+    return A.restrict_years(A.months_covered(_merged(listed(spark, d))), [1999, 2000])
 
 
 SILVER_PATHS = ("paths AS (SELECT 'silver/" + DATASET + "/trips/vehicle_type=' || vehicle_type || '/year=' || "
@@ -169,24 +182,29 @@ PLAN = ("plan AS (SELECT b.vehicle_type, b.year, b.mois, b.fichiers, CASE WHEN c
 RESUME = O.with_views(["trips_l"], LISTING, PREV, STORE, CLS, MERGED, SILVER_PATHS, COMMITTED, PLAN)
 
 
-def _silver_paths(spark, d):
-    def p(df, tail):
-        return df.select(F.concat(F.lit(f"silver/{DATASET}/trips/vehicle_type="), F.col("vehicle_type"),
-                                  F.lit("/year="), F.col("year").cast("string"), tail).alias("path"))
-    done = p(_prev(spark, d), F.concat(F.lit("/month="), F.col("month").cast("string"),
-                                       F.lit("/part-00000.parquet")))
-    partial = p(listing(spark, d).filter(F.col("year") == MANIFEST_UNTIL + 1),
-                F.lit("/_temporary/0/part-00000.parquet"))
-    return done.unionByName(partial)
+def _interrupted_lake(spark, d, files) -> str:
+    """A silver folder as an interrupted run leaves it: the partitions of the earlier run, written and recorded;
+    one more partition a vehicle that was written but not recorded; and a write that broke off, under ``_temporary``."""
+    silver, tags = f"{_run_dir(spark)}/silver/trips", SV.PARTITION_KEYS
+    trips = gold.with_all_columns(tl(spark, d)).select(*[f.name for f in TRIP_SCHEMA])
+    of = lambda keep: trips.join(F.broadcast(keep.select(*tags)), tags, "left_semi").hint("rebalance", *tags)  # noqa: E731  one row per file
+    committed = _prev(files)
+    L.write_silver_trips(of(committed), silver)
+    committed.select(F.col("key").alias("path"), "size", *tags).coalesce(1).write.parquet(f"{silver}_committed")
+    later = files.filter(F.col("year") == MANIFEST_UNTIL + 1)
+    L.write_silver_trips(of(later.filter(F.col("month") == 1)), silver)
+    of(later).write.partitionBy(*tags).parquet(f"{silver}/_temporary/0")
+    return silver
 
 
 def _plan(spark, d):
-    return A.resume_plan(_merged(spark, d), A.committed_batches(_silver_paths(spark, d)))
+    files = listed(spark, d)
+    return A.resume_plan(_merged(files), SV.committed_batches(spark, _interrupted_lake(spark, d, files)))
 
 
 @register("A19_committed_batches", RESUME + "SELECT * FROM committed")
 def q_a19(spark, d):
-    return A.committed_batches(_silver_paths(spark, d))
+    return SV.committed_batches(spark, _interrupted_lake(spark, d, listed(spark, d)))
 
 
 @register("A20_resume_plan", RESUME + "SELECT vehicle_type, year, CAST(to_json(mois) AS VARCHAR) AS mois, fichiers, statut FROM plan")
@@ -211,7 +229,7 @@ def q_a21(spark, d):
           "SELECT make_timestamp(min(year), 1, 1, 0, 0, 0) AS debut, "
           "make_timestamp(max(year), 12, 31, 23, 59, 59) AS fin FROM merged")
 def q_a22(spark, d):
-    return A.manifest_window(_merged(spark, d))
+    return A.manifest_window(_merged(listed(spark, d)))
 
 
 WEATHER_ENTRIES = ("went AS (SELECT 'weather/' || CAST(year AS VARCHAR) || '/' || lpad(CAST(month AS VARCHAR), 2, "
@@ -229,7 +247,7 @@ def q_a23(spark, d):
                              F.lpad(F.col("month").cast("string"), 2, "0"), F.lit(".json")).alias("key"),
                     F.lit(1).cast("bigint").alias("size"), F.lit(None).cast("string").alias("vehicle_type"),
                     "year", "month")
-    both = (_merged(spark, d).select(F.lit(DATASET).alias("dataset_id"), F.lit("trips").alias("kind"), "*")
+    both = (_merged(listed(spark, d)).select(F.lit(DATASET).alias("dataset_id"), F.lit("trips").alias("kind"), "*")
             .unionByName(went.select(F.lit("weather").alias("dataset_id"), F.lit("weather").alias("kind"), "*")))
     return A.select_kind(both, "trips")
 
@@ -239,7 +257,7 @@ def q_a23(spark, d):
           "SELECT 'trips-l' AS dataset_id, '[]' AS manquants, true AS complet WHERE EXISTS (SELECT 1 FROM trips_l) UNION ALL "
           "SELECT 'trips-e', '[\"surcharge_evolution\"]', false WHERE EXISTS (SELECT 1 FROM trips_e)")
 def q_a25(spark, d):
-    out = f"{checkpoint_dir(spark).rstrip('/')}/metrolake-runs/{uuid.uuid4().hex}"
+    out = _run_dir(spark)
     gold.run(spark, tl(spark, d), None, out, surcharges=S.TRIPS_L_SURCHARGES, width=S.TRIPS_L_BIN_WIDTH, dataset_id="trips-l")
     gold.run(spark, te(spark, d), we(spark, d), out, zones=S.zones_s(spark, d), surcharges=[], dataset_id="trips-e")
     return A.mart_completeness(gold.present_marts(spark, out)).withColumn("manquants", F.to_json("manquants"))
@@ -273,4 +291,4 @@ def q_a26b(spark, d):
           "CAST(sum(size) AS BIGINT) AS taille_octets FROM merged")
 def q_a27(spark, d):
     # the generation time differs per run, so the compared frame leaves it out
-    return A.lineage(A.summarize(_merged(spark, d), DATASET)).drop("genere_le")
+    return A.lineage(A.summarize(_merged(listed(spark, d)), DATASET)).drop("genere_le")

@@ -27,6 +27,19 @@ def committed_files(spark: SparkSession, silver_base: str) -> DataFrame:
     return L.read_if_present(spark, COMMITTED_SCHEMA, f"{silver_base.rstrip('/')}_committed").distinct()
 
 
+def committed_batches(spark: SparkSession, silver_base: str) -> DataFrame:
+    """(vehicle, year) batches of the store's listing with a partition that is also recorded as committed.
+
+    The listing names data files only: what a broken write left under ``_temporary`` is not part of it, and a
+    partition that was written but not recorded does not count. One listing, no data is read."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+              .load(silver_base).select("path"))
+    part = lambda name, kind: F.regexp_extract("path", f"/{name}=([^/]+)/", 1).try_cast(kind).alias(name)
+    found = listed.select(part("vehicle_type", "string"), part("year", "int"), part("month", "int")).distinct()
+    return found.join(committed_files(spark, silver_base).select(*PARTITION_KEYS).distinct(), PARTITION_KEYS, "left_semi") \
+                .select("vehicle_type", "year").distinct()
+
+
 def pending_files(files: DataFrame, committed: DataFrame) -> DataFrame:
     """Files that are not committed, or not in their present size."""
     return files.join(committed.select("path", "size").distinct(), ["path", "size"], "left_anti")
