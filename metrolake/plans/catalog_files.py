@@ -22,6 +22,7 @@ from metrolake.session import checkpoint_dir
 from metrolake.sources import lake as L
 from metrolake.sources import raw as R
 from metrolake.sources import surrogates as S
+from metrolake.streaming import epochs as EPOCHS
 from metrolake.streaming import ingest as STREAM
 
 LAYOUTS = {"legacy": B.legacy_raw, "yellow": B.yellow_raw, "green": B.green_raw, "fhvhv": B.fhvhv_raw}
@@ -149,6 +150,23 @@ def q_a24(spark, d):
     return L.read_silver_trips(spark, f"{run}/silver/trips")
 
 
+@register("A24_epoch_sink", B._union_sql(False))
+def q_a24_epochs(spark, d):
+    """Every layout streamed into folders by epoch, with a compaction between the layouts and a second run that finds nothing."""
+    run = run_dir(spark)
+    years = _write_raw(spark, d, run).agg(F.min("year"), F.max("year")).first()
+    for i, name in enumerate(LAYOUTS):
+        raw_dir = f"{run}/raw/{name}"
+        args = dict(raw_schema=spark.read.parquet(raw_dir).schema, base=f"{run}/trips", checkpoint=f"{run}/_checkpoint_{name}",
+                    stream=name, window_years=tuple(years), tag_from_name=False, max_files_per_trigger=64)
+        EPOCHS.ingest(spark, raw_dir, **args)
+        if EPOCHS.ingest(spark, raw_dir, **args):
+            raise RuntimeError("second ingestion run processed files again")
+        if i % 2:
+            EPOCHS.compact(spark, f"{run}/trips")
+    return EPOCHS.read(spark, f"{run}/trips")
+
+
 @register("A2_A4_A7_weather_roundtrip", B.WEATHER_SQL)
 def q_a2(spark, d):
     run = run_dir(spark)
