@@ -14,6 +14,7 @@ from metrolake.operators import marts as M
 from metrolake.operators import questions as Q
 from metrolake.operators import serve as D
 from metrolake.operators import weather as W
+from metrolake.plans import gold
 from metrolake.plans.catalog import (C5_SELECT, DO, HEAT, HIST, HV, HZ, JV, JZ, L_SUR, L_WIDTH, LINKS_SQL, NODES_SQL, PPK,
                                      PPKB, PU, RESTRICTED, TIMELINE, TIPS, TOPZ, WDIM, ZONE1, ZS, MEAN_COURSES, mean_gate,
                                      _ratio_sql, register, te, tl, we)
@@ -104,8 +105,9 @@ def _rain(spark, d, mean: bool = False):
 
 
 def _links_nodes(spark, d):
-    t = tl(spark, d)
-    return M.od_top_links(t), M.od_top_nodes(t)
+    """Links and nodes from one rollup of the flows, so the trips are scanned once."""
+    flows = gold.Rollups(tl(spark, d))
+    return flows.od_top_links(), flows.od_top_nodes()
 
 
 def _dense(spark, d):

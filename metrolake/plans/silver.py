@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metrolake.operators import manifest as A
 from metrolake.operators import normalize as N
+from metrolake.schemas import WEATHER_SCHEMA
 from metrolake.sources import lake as L
 from metrolake.sources import raw as R
 
@@ -111,6 +112,25 @@ def build_weather(spark: SparkSession, weather_root: str, silver_weather: str) -
     return L.check_row(spark, expected, L.read_silver_weather(spark, silver_weather))
 
 
+def add_weather(spark: SparkSession, weather_root: str, silver_weather: str, months: DataFrame) -> int:
+    """Bring the silver weather up to date for ``months`` (year, month), such as a manifest's.
+
+    Months that the silver weather lacks and that have a document are due; their years are rebuilt
+    from their own documents and replaced, other years are neither read nor written. Returns the
+    number of months added (0: nothing was due)."""
+    hours = L.read_if_present(spark, WEATHER_SCHEMA, silver_weather)
+    have = hours.select(F.year("ts").alias("year"), F.month("ts").alias("month")).distinct()
+    documents = R.weather_documents(spark, weather_root)
+    due = A.missing_months(documents.join(months.select("year", "month").distinct(), ["year", "month"], "left_semi").select("year", "month").distinct(), have)
+    rows = due.collect()                                                                    # metadata only
+    years, n = sorted({r["year"] for r in rows}), len(rows)
+    if n:
+        wanted = documents.join(months.select("year", "month").distinct(), ["year", "month"], "left_semi").where(F.col("year").isin(years))
+        both = wanted.unionByName(documents.join(have, ["year", "month"], "left_semi").where(F.col("year").isin(years))).select("path").distinct()
+        L.write_silver_weather(R.read_weather_json(spark, *[r["path"] for r in both.collect()]), silver_weather)
+    return n
+
+
 def manifest_entries_for(files: DataFrame, dataset_id: str) -> DataFrame:
     """Manifest entries for discovered files (key = dataset/vehicle/YYYY/MM/name)."""
     return files.select(A.bronze_key(F.lit(dataset_id), "vehicle_type", "year", "month", "name").alias("key"),

@@ -56,9 +56,9 @@ def write_silver_trips(trips: DataFrame, base: str) -> int:
 
 
 def write_silver_weather(weather: DataFrame, base: str) -> int:
-    """Weather overwrite partitioned by year (hours: small); returns rows written."""
+    """Overwrite of the years that ``weather`` holds (hours: small); other years stay; returns rows written."""
     weather, obs = _observed(weather, "silver_weather")
-    weather.repartition("year").write.mode("overwrite").partitionBy("year").parquet(base)
+    weather.repartition("year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(base)
     return int(obs.get["rows"])
 
 

@@ -63,12 +63,21 @@ def read_raw_trips(spark: SparkSession, paths, strict_case: bool = False) -> Dat
     return N.union_all(frames)
 
 
-def read_weather_json(spark: SparkSession, root: str) -> DataFrame:
+def weather_documents(spark: SparkSession, root: str) -> DataFrame:
+    """The monthly weather documents under ``root``, ``<year>/<MM>.json`` or ``year=<y>/month=<m>/*.json``,
+    as (path, year, month). Only file metadata is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(root).select("path"))
+    pattern = r"/(?:year=)?(\d{4})/(?:month=)?(\d{1,2})(?:\.json|/)"
+    part = lambda i: F.regexp_extract("path", pattern, i).try_cast("int")
+    return files.select("path", part(1).alias("year"), part(2).alias("month")).where("month is not null")
+
+
+def read_weather_json(spark: SparkSession, *paths: str) -> DataFrame:
     """A2 + B10-B12: raw monthly weather documents ``<root>/<year>/<MM>.json`` with an
-    explicit schema; the year comes from each file's path."""
+    explicit schema; the year comes from each file's path. Takes a root or the documents' paths."""
     from metrolake.operators.weather import explode_hourly
     raw = (spark.read.schema(WEATHER_RAW_SCHEMA).option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", "*.json").json(root))
+           .option("pathGlobFilter", "*.json").json(list(paths)))
     # year = the last 4-digit directory of the path (``.../2016/01.json`` or ``.../year=2016/...``)
     year = F.regexp_extract(F.col("_metadata.file_path"), r".*/(?:year=)?(\d{4})/", 1)
     raw = raw.select("hourly", year.cast("int").alias("year"))
