@@ -337,10 +337,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHIN
 
     tokens = slim.join(side, (F.col("o") == F.col("_o")) & (F.col("t") == F.col("_t"))).select("g", "c", "large", "text") \
         .mapInPandas(read, "g long, c long, large boolean, tokens binary")
-    labels = _compare_sets(tokens.where("not large").select("g", "c", "tokens"), need, of)
+    labels = store.materialize(_compare_sets(tokens.where("not large").select("g", "c", "tokens"), need, of))     # written before any union
     if chosen.where("large").limit(1).count():
         parted, rest = _split_large(store.materialize(tokens.where("large").select("g", "c", "tokens")), need, of)
-        labels = labels.unionByName(_compare_sets(parted, need, of))
+        labels = labels.unionByName(store.materialize(_compare_sets(parted, need, of)))
         if rest.limit(1).count():
             labels = labels.unionByName(_compare_large(rest, need, of))
     labels = store.materialize(labels)
