@@ -14,6 +14,7 @@ takes the index and one frame. The dictionary is stored once beside the blocks.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from bisect import bisect_right
@@ -32,21 +33,99 @@ LEVEL = 3
 BLOCK_DOCS, BLOCK_BYTES = 1024, 2 << 20
 MAX_SPLITS = 4096                                   # boundaries sent to tasks
 DICT_DOCS, DICT_BYTES, DICT_CHARS = 2000, 112_640, 20_000   # bounds of the dictionary's training sample
-KEEP_WORDS = 1_000_000                              # encoded words a worker remembers, 40 bytes each
+KEEP_WORDS = 1_000_000                              # encoded words a worker remembers, about 45 bytes each
+
+
+_ODD = re.compile("[\\x1c-\\x1f\\x85\\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")     # white space beyond the usual six
+
+
+class Words:
+    """Known words in the order of their hash: hash, first eight bytes, length, place and number
+    of ids in a pool, and in how many lookups each was found.
+
+    New words go to a small table that is merged into the large one when it reaches an eighth
+    of it, so learning costs what is new. When both hold ``KEEP_WORDS``, words found only once go."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self.large, self.small = self._none(), self._none()
+        self.pool, self.used = [], 0
+
+    def _none(self) -> dict[str, np.ndarray]:
+        kinds = {"h": np.uint64, "head": np.uint64, "size": np.int32, "at": np.int64, "n": np.int32, "seen": np.int32}
+        return {name: np.zeros(0, kind) for name, kind in kinds.items()}
+
+    @staticmethod
+    def _merge(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        order = np.argsort(np.concatenate([a["h"], b["h"]]), kind="stable")
+        return {name: np.concatenate([a[name], b[name]], dtype=a[name].dtype, casting="same_kind")[order] for name in a}
+
+    @staticmethod
+    def _hits(table: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(table["h"], h)
+        hit = at < len(table["h"])
+        hit[hit] = table["h"][at[hit]] == h[hit]
+        return at, hit
+
+    def new(self, h: np.ndarray) -> np.ndarray:
+        """Which of the hashes are unknown."""
+        return ~(self._hits(self.large, h)[1] | self._hits(self.small, h)[1])
+
+    def room(self, words: int) -> bool:
+        """Make room for ``words`` more; whether that made known words unknown."""
+        if len(self.large["h"]) + len(self.small["h"]) + words <= KEEP_WORDS:
+            return False
+        every = self._merge(self.large, self.small)
+        stay = every["seen"] > 1
+        if 2 * int(stay.sum()) > KEEP_WORDS or words > KEEP_WORDS // 2:
+            stay[:] = False
+        every = {name: v[stay] for name, v in every.items()}
+        ids = self.ids(every["at"], every["n"])
+        every["at"], every["seen"] = np.cumsum(every["n"], dtype=np.int64) - every["n"], np.zeros(len(every["n"]), np.int32)
+        self.large, self.small, self.pool, self.used = every, self._none(), [ids], len(ids)
+        return True
+
+    def learn(self, h: np.ndarray, head: np.ndarray, size: np.ndarray, got: list[bytes]) -> None:
+        """Add words (unknown ones, by rising hash) with the bytes of their ids."""
+        ids = np.frombuffer(b"".join(got), self.kind)
+        n = np.array([len(g) for g in got], np.int64) // np.dtype(self.kind).itemsize
+        self.small = self._merge(self.small, {"h": h, "head": head, "size": size, "at": self.used + np.cumsum(n) - n, "n": n, "seen": np.zeros(len(h), np.int64)})
+        self.pool.append(ids)
+        self.used += len(ids)
+        if 8 * len(self.small["h"]) > len(self.large["h"]):
+            self.large, self.small = self._merge(self.large, self.small), self._none()
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(head, size, at, n) of known hashes."""
+        out = [np.zeros(len(h), self.large[name].dtype) for name in ("head", "size", "at", "n")]
+        for table in (self.large, self.small):
+            at, hit = self._hits(table, h)
+            table["seen"][at[hit]] += 1
+            for o, name in zip(out, ("head", "size", "at", "n")):
+                o[hit] = table[name][at[hit]]
+        return tuple(out)
+
+    def ids(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Ids at several places of the pool, one after another."""
+        if len(self.pool) != 1:
+            self.pool = [np.concatenate([np.zeros(0, self.kind), *self.pool])]
+        stop = np.cumsum(n, dtype=np.int64)
+        return self.pool[0][np.arange(stop[-1] if len(stop) else 0) + np.repeat(at - (stop - n), n)]
 
 
 class Encoder:
     """Ids of texts by the tokenizers library, remembering the words already seen.
 
-    A byte-level pre-tokenizer never joins characters across a single space that
-    stands between two non-spaces, so a text is encoded word by word at those
-    spaces, each with the space before it, and only words not yet known go to the
+    The usual byte-level pre-tokenizer never joins characters across a single space that
+    has a non-space on either side, nor across a line feed before a non-space (which is a
+    token by itself), nor from a letter to a comma or full stop. So a text is cut at those
+    spaces (a word keeps the space before it) and line feeds, a comma or full stop after a
+    word's last letter is taken off, and only words not yet known go to the
     library. Texts with other runs of spaces, or with a special token's string, go
-    to it whole. Both ways give the same ids.
+    to it whole, as do all texts under another pre-tokenizer. Both ways give the same ids.
 
-    Known words are sorted arrays (hash, first eight bytes, length, place and
-    number of ids), looked up and gathered for many texts at once. Where hash and
-    first bytes disagree, the texts go to the library whole."""
+    Known words (:class:`Words`) are looked up and gathered for many texts at once. Where hash
+    and first bytes disagree, the texts go to the library whole."""
 
     def __init__(self, path: str, width: int | None = None):
         from tokenizers import Tokenizer
@@ -54,14 +133,10 @@ class Encoder:
         self.width = width or (2 if self.tok.get_vocab_size() <= 1 << 16 else 4)
         self.kind = f"<u{self.width}"
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        feed = self.tok.encode("a\nb", add_special_tokens=False)
-        self.feed = feed.ids[1] if len(feed.ids) == 3 else None         # the id of a line feed by itself
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hash, self.head = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.size, self.at, self.n = (np.zeros(0, np.int64) for _ in range(3))
-        self.pool = np.zeros(0, self.kind)
+        usual = self.tok.normalizer is None and str(self.tok.pre_tokenizer) == "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+        marks = [self.tok.encode(m, add_special_tokens=False).ids for m in ("\n", ",", ".")]
+        self.marks = np.array([m[0] for m in marks], self.kind) if usual and all(len(m) == 1 for m in marks) else None
+        self.words = Words(self.kind)
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
@@ -70,71 +145,77 @@ class Encoder:
         """Ids of each piece. Those without white space but a first space go in one call, a
         line feed after each; its id then marks where the next one begins."""
         out: dict[str, bytes] = {}
-        plain = [p for p in dict.fromkeys(pieces) if p.split() == [p.removeprefix(" ")]]
+        plain = [p for p in pieces if p.split() == [p.removeprefix(" ")]]
         for some in (plain[i:i + 20_000] for i in range(0, len(plain), 20_000)):
             ids = np.asarray(self.tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, self.kind)
-            at = np.flatnonzero(ids == self.feed)
+            at = np.flatnonzero(ids == self.marks[0])
             raw, w = ids.tobytes(), self.width
             out.update((p, raw[a:b]) for p, a, b in zip(some, [0, *((at + 1) * w).tolist()], [*(at * w).tolist(), len(raw)]))
         return [out[p] if p in out else self._whole(p) for p in pieces]
 
-    def _learn(self, words: list[str], h: np.ndarray, head: np.ndarray, size: np.ndarray) -> None:
-        if len(self.hash) + len(words) > KEEP_WORDS:
-            self._forget()
-        got = self._parts([" " + w for w in words])
-        n = np.array([len(g) // self.width for g in got], np.int64)
-        at = len(self.pool) + np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(got), self.kind)])
-        order = np.argsort(merged := np.concatenate([self.hash, h]), kind="stable")
-        self.hash = merged[order]
-        for name, new in (("head", head), ("size", size), ("at", at), ("n", n)):
-            setattr(self, name, np.concatenate([getattr(self, name), new])[order])
-
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.hash, h).clip(max=max(0, len(self.hash) - 1))
-
     def _joined(self, texts: list[str], tail: bytes) -> list[bytes] | None:
         """Ids of texts that split at single spaces; None if two words' hashes collide."""
-        firsts = self._parts([t.partition(" ")[0] for t in texts])
-        raws = [t.encode("utf-8", "surrogatepass").partition(b" ")[2] for t in texts]
-        h, head, size, begin, blobs = [], [], [], [], b" ".join(raws)
-        b = np.frombuffer(blobs, np.uint8)
-        counts = np.array([r.count(b" ") + 1 if r else 0 for r in raws], np.int64)
-        end = np.append(np.flatnonzero(b == 32), len(b))
+        raws = [t.encode("utf-8", "surrogatepass") for t in texts]
+        blob = b"\n".join(raws)
+        b = np.frombuffer(blob + bytes(8), np.uint8)
+        length = len(blob)
+        stops = np.cumsum([len(r) + 1 for r in raws]) - 1                # a joint stands behind every text
+        joint = np.zeros(length + 1, bool)
+        joint[stops] = True
+        follows, before = b[1:length + 1], np.concatenate([[32], b[:length]])[:length]
+        odd = any(map(_ODD.search, texts))                               # then any byte beyond ASCII may be white space
+        solid = (follows > 32) & ((follows < 127) | (not odd))
+        blank = np.append((b[:length] <= 32) | ((b[:length] >= 128) & odd), True)
+        within = np.concatenate([[True], blank[:length]])[:length] & blank[1:]   # white space on both sides
+        first = np.zeros(length + 1, bool)
+        first[stops[:-1] + 1] = True                                     # a line feed there stays in its word
+        feed = (b[:length] == 10) & solid & (before != 32) & ~first[:length] & ~joint[:length] & ~joint[1:]
+        end = np.flatnonzero(np.append((b[:length] == 32) & ~within | feed, True) | joint)
         begin = np.concatenate([[0], end[:-1] + 1])
-        keep = end > begin                                              # texts of one word leave empty places
-        begin, end = begin[keep], end[keep]
+        opened = np.concatenate([[0], np.where(joint[end[:-1]], 0, np.where(b[end[:-1]] == 32, 1, 2))])   # 0 by the text, 1 by a space, 2 by a line feed
+        owner = np.searchsorted(stops, end)
+        keep = end > begin                                               # a text's empty first word
+        begin, end, opened, owner = begin[keep], end[keep], opened[keep], owner[keep]
         if not len(begin):
-            return [f + tail for f in firsts]
-        up, down = powers(len(b))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
-        size = end - begin
-        h = _mix((sums[end] - sums[begin]) * down[begin] + size.astype(np.uint64))
-        padded, head = np.append(b, np.zeros(8, np.uint8)), np.zeros(len(h), np.uint64)
+            return [tail] * len(texts)
+        last, letter = b[end - 1], b[np.maximum(end - 2, 0)] | 32
+        mark = np.where((end - begin > 1) & (letter >= 97) & (letter <= 122) & ((last == 44) | (last == 46)), np.where(last == 44, 1, 2), 0)
+        end = end - (mark > 0)
+        up, down = powers(length)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b[:length].astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
+        spaced = opened == 1
+        size = (end - begin) * 2 + spaced                                # the space before it is part of the word
+        h = _mix((sums[end] - sums[begin]) * down[begin] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        head = np.zeros(len(h), np.uint64)
         for i in range(8):
-            head |= np.where(size > i, padded[begin + i], 0).astype(np.uint64) << np.uint64(8 * i)
-        unique, first, same = np.unique(h, return_index=True, return_inverse=True)
-        found = self._find(unique)
-        new = np.flatnonzero(self.hash[found] != unique) if len(self.hash) else np.arange(len(unique))
-        if len(self.hash) + len(new) > KEEP_WORDS:
-            self._forget()
-            new = np.arange(len(unique))
+            head |= np.where(end - begin > i, b[begin + i], 0).astype(np.uint64) << np.uint64(8 * i)
+        unique, place, same = np.unique(h, return_index=True, return_inverse=True)
+        new = np.flatnonzero(self.words.new(unique))
+        if len(new) and self.words.room(len(new)):
+            new = np.flatnonzero(self.words.new(unique))
         if len(new):
-            f = first[new]
-            self._learn([blobs[x:y].decode("utf-8", "surrogatepass") for x, y in zip(begin[f].tolist(), end[f].tolist())], unique[new], head[f], size[f])
-        at = self._find(unique)[same.reshape(-1)]
-        if not (np.array_equal(self.head[at], head) and np.array_equal(self.size[at], size)):
+            f = place[new]
+            got = self._parts([(" " if s else "") + blob[x:y].decode("utf-8", "surrogatepass") for x, y, s in zip(begin[f].tolist(), end[f].tolist(), spaced[f].tolist())])
+            self.words.learn(unique[new], head[f], size[f], got)
+        same = same.reshape(-1)
+        known_head, known_size, at, n = self.words.find(unique)
+        if not (np.array_equal(known_head[same], head) and np.array_equal(known_size[same], size)):
             return None
-        n = self.n[at]
-        stop = np.cumsum(n)
-        ids = self.pool[np.arange(stop[-1]) + np.repeat(self.at[at] - (stop - n), n)]
-        cut = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(counts)])]
-        return [f + ids[x:y].tobytes() + tail for f, x, y in zip(firsts, cut[:-1].tolist(), cut[1:].tolist())]
+        at, n = at[same], n[same]
+        count = n + (opened == 2) + (mark > 0)                           # with the line feed before and the mark behind
+        stop = np.cumsum(count)
+        ids = np.empty(int(stop[-1]), self.kind)
+        inner = np.ones(len(ids), bool)
+        for where, value in (((stop - count)[opened == 2], self.marks[0]), (stop[mark == 1] - 1, self.marks[1]), (stop[mark == 2] - 1, self.marks[2])):
+            ids[where], inner[where] = value, False
+        ids[inner] = self.words.ids(at, n)
+        cut = np.concatenate([[0], np.cumsum(np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64))])
+        return [ids[x:y].tobytes() + tail for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
     def encode(self, texts: list[str], end: int) -> Iterator[bytes]:
         """Id arrays (bytes of ``width`` per id) of ``texts``, each closed by id ``end``."""
         tail = np.asarray([end], self.kind).tobytes()
-        plain = [self.feed is not None and "  " not in t and t[-1:] != " " and not any(s in t for s in self.special) for t in texts]
+        plain = [self.marks is not None and "  " not in t and t[-1:] != " " and not any(s in t for s in self.special) for t in texts]
         some = [t for t, p in zip(texts, plain) if p]
         joined = self._joined(some, tail) if some else []
         if joined is None:
@@ -159,7 +240,7 @@ def forget() -> None:
     _encoders.clear()
 
 
-def _chunks(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def _chunks(texts: list[str], chars: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``chars`` code points, with the place of their first."""
     at, total = 0, 0
     for i, t in enumerate(texts):
@@ -176,8 +257,9 @@ def train_dictionary(df: DataFrame, text: str, path: str, end: int) -> bytes:
     at most ``DICT_CHARS`` code points (those with the least hashes, so any
     partitioning gives the same). Empty bytes when the sample is too small to train on."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = (df.select(t.alias("t")).where(F.length("t").between(1, DICT_CHARS))
-            .orderBy(F.xxhash64("t"), "t").limit(DICT_DOCS))
+    some = df.select(t.alias("t")).where(F.length("t").between(1, DICT_CHARS)).withColumn("h", F.xxhash64("t"))
+    top = some.select("h").orderBy("h").limit(DICT_DOCS).agg(F.max("h")).first()[0]      # hashes first, so few texts move
+    rows = some.where(F.col("h") <= F.lit(top)).orderBy("h", "t").limit(DICT_DOCS).select("t")
 
     def ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -212,6 +294,7 @@ def write(df: DataFrame, out: str, path: str, key: str = "doc_id", text: str = "
     spark = df.sparkSession
     raw = train_dictionary(df, text, path, end)
     digest = hashlib.sha256(raw).digest()
+    width = Encoder(path).width
     n = df.count()
     parts = min(MAX_SPLITS, store.buckets_for(n, 8 * BLOCK_DOCS))
     cuts = []
@@ -231,7 +314,8 @@ def write(df: DataFrame, out: str, path: str, key: str = "doc_id", text: str = "
                                     "frame": [cctx.compress(i) for i in ids]})
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width, held, size, split, number = encoder(path).width, [], 0, None, 0
+        held, size, split, number = [], 0, None, 0
+        forget()                                        # packing needs no words
 
         def close() -> pd.DataFrame:
             ends = np.cumsum([len(f) for _, _, f in held])
@@ -256,7 +340,7 @@ def write(df: DataFrame, out: str, path: str, key: str = "doc_id", text: str = "
     packed = (slim.mapInPandas(frames, "split int, k long, h long, n long, frame binary")
               .repartition(len(cuts) + 1, "split").sortWithinPartitions("split", F.asc_nulls_first("k"), "h")
               .mapInPandas(blocks, "split int, number int, ids long, keys array<long>, block binary"))
-    with store.small_batches(spark):
+    with store.small_batches(spark, 250):
         packed.write.parquet(f"{out}/blocks")
     spark.createDataFrame([(digest, raw, path.rsplit("/", 1)[-1], end)], "sha256 binary, body binary, vocabulary string, end int") \
         .coalesce(1).write.parquet(f"{out}/dictionary")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -140,6 +141,29 @@ def test_token_files_round_trip(spark):
         crcs((k, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for k, i in want)
 
 
+def test_words_encode_as_whole_texts(monkeypatch):
+    """Cut texts give the library's ids for whole texts: odd white space, line feeds, marks and
+    apostrophes, special tokens, and a word table that overflows again and again."""
+    from tokenizers import Tokenizer
+    whole, draw = Tokenizer.from_file(VOCABULARY), random.Random(3)
+    monkeypatch.setattr(tokens, "KEEP_WORDS", 1500)
+    enc, fell = tokens.Encoder(VOCABULARY), []
+    joined = enc._joined
+    monkeypatch.setattr(enc, "_joined", lambda *a: (lambda x: fell.append(x is None) or x)(joined(*a)))
+    odd = ["it's", "As", "At", "co-op", "3.5", "I'", "'s", "x,y", "..", ",", ".", "\u00e9,", "\xa0", "end.", "12,", "\u65e5\u672c", "<|endoftext|>",
+           "\u2003z", "\x1c", "\x85", "\x7f", "b\x00c", "'"]
+    words = odd + [f"w{i}" for i in range(2000)] + ["".join(draw.choice("abcdef") for _ in range(draw.randint(1, 12))) for _ in range(2000)]
+    gaps = [" "] * 30 + ["\n"] * 12 + ["\n\n", " \n", "\n ", "\t", "\r\n", "\t ", "", "\n\t", "  "]
+    for _ in range(60):
+        texts = ["", "\nx", " x", "x"]
+        for _ in range(30):
+            t = "".join(draw.choice(words if draw.random() < .6 else odd) + draw.choice(gaps) for _ in range(draw.choice([1, 2, 5, 40])))
+            texts.append(t.rstrip(" ") if draw.random() < .7 else t)
+        for t, got in zip(texts, enc.encode(texts, 2)):
+            assert np.frombuffer(got, enc.kind).tolist() == [*whole.encode(t, add_special_tokens=False).ids, 2], t
+    assert fell and not any(fell)
+
+
 def test_token_files_empty_and_wrong_dictionary(spark):
     out = _shared(spark)
     tokens.write(fixtures.none(spark), out, VOCABULARY)
