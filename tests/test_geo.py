@@ -75,3 +75,21 @@ def test_lookup_has_no_cross_join_and_keeps_zone_ids(spark):
     filled = out.where("pulocation_id is not null").count()
     assert kept < filled < out.count()
     assert out.where((F.col("year") >= C.ZONES_BEFORE) & F.col("pulocation_id").isNull()).count() == 0
+
+
+def test_lists_end_with_the_first_whole_zone(spark):
+    square = [(0.25, 0.25), (5.75, 0.25), (5.75, 5.75), (0.25, 5.75)]              # 40 zones over the same ground
+    index = geo.grid_index(spark.createDataFrame([(k, square) for k in range(40)], "zone_id int, ring array<struct<x:double,y:double>>"), 1.0)
+    sizes = {(r["cx"], r["cy"]): len(r["zones"]) for r in index.collect()}
+    assert {sizes[x, y] for x in range(1, 5) for y in range(1, 5)} == {1} and sizes[0, 0] == 40
+    points = spark.createDataFrame([(2.5, 2.5), (0.5, 0.5), (0.1, 0.1)], "x double, y double")
+    assert [r["zone_id"] for r in geo.zones_of_points(points, index, "x", "y", 1.0).collect()] == [0, 0, None]
+
+
+def test_every_zone_of_a_long_list_is_tested(spark):
+    corners = [(k, k * 0.01) for k in range(400)]                                   # 400 small zones in one cell, none fills it
+    rings = spark.createDataFrame([(k, [(c, 0.0), (c + 0.008, 0.0), (c + 0.008, 1.0), (c, 1.0)]) for k, c in corners],
+                                  "zone_id int, ring array<struct<x:double,y:double>>")
+    points = spark.createDataFrame([(k, c + 0.004, 0.5) for k, c in corners] + [(None, c + 0.009, 0.5) for _, c in corners], "k int, x double, y double")
+    got = geo.zones_of_points(points, geo.grid_index(rings, 10.0), "x", "y", 10.0).collect()
+    assert len(got) == 800 and [r for r in got if r["k"] != r["zone_id"]] == []
