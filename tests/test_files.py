@@ -276,6 +276,29 @@ def test_stream_keeps_all_files_of_a_month_and_only_the_window(spark, workdir):
     assert days == [1, 2, 3, 9]
 
 
+def test_stream_rebuilds_a_partition_once_from_its_own_folders(spark, workdir, monkeypatch):
+    src, reads, rebuilt = f"{workdir}/incoming", [], STREAM._rebuilt
+    rows = [("yellow", 2016, m, m * 10 + i) for m in (1, 2, 3) for i in range(2)]
+    for i in range(2):                                                       # two files a month, one to a micro-batch
+        df = spark.createDataFrame([r for r in rows if r[3] % 10 == i], "vehicle_type string, year int, month int, n int")
+        (df.selectExpr("*", "timestamp_ntz '2016-07-01 08:00:00' tpep_pickup_datetime", "double(n) trip_distance").drop("n")
+         .coalesce(1).write.mode("append").partitionBy("vehicle_type", "year", "month").parquet(src))
+
+    def counted(spark, raw_dir, raw_schema, touched, *rest):
+        norm, paths = rebuilt(spark, raw_dir, raw_schema, touched, *rest)
+        plan = norm._jdf.queryExecution().executedPlan()
+        reads.append((len(touched), "PartitionFilters: [" in plan.toString(), "Join" in plan.toString()))
+        return norm, paths
+
+    monkeypatch.setattr(STREAM, "_rebuilt", counted)
+    args = dict(raw_schema=spark.read.parquet(src).schema, silver_base=f"{workdir}/silver", checkpoint=f"{workdir}/ckpt",
+                window_years=(2016, 2016), tag_from_name=False, max_files_per_trigger=1)
+    assert STREAM.ingest(spark, src, **args) == 6 and STREAM.ingest(spark, src, **args) == 0
+    assert reads == [(1, True, False)] * 3
+    kept = L.read_silver_trips(spark, f"{workdir}/silver")
+    assert sorted((r.month, int(r.trip_distance)) for r in kept.collect()) == sorted((r[2], r[3]) for r in rows)
+
+
 def test_dirty_strings_in_a_modern_file_become_null(spark, workdir):
     path = f"{workdir}/yellow_tripdata_2016-07.parquet"
     _month_file(path, ["2016-07-01 08:00:00", "not a time", None], strings=True)
