@@ -17,6 +17,7 @@ def spark():
     s = (SparkSession.builder.master("local[*]").appName("metrolake-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.sql.maxMetadataStringLength", "1000")        # plans that tests read are not cut at 100 characters
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="metrolake-ckpt-"))
