@@ -38,10 +38,10 @@ def legacy_raw(t: DataFrame) -> DataFrame:
     ts = F.date_format("pickup_ts", fmt)
     pick = (F.when(F.col("line_no") == 6, F.lit("not a time"))
              .when(F.col("line_no") == 5, F.date_format(F.col("pickup_ts") - F.expr("INTERVAL 100 YEARS"), fmt))
-             .otherwise(ts))
-    return t.filter(F.col("year") < LEGACY_BEFORE).select(
+             .otherwise(F.col("_ts")))
+    return t.filter(F.col("year") < LEGACY_BEFORE).withColumn("_ts", ts).select(        # formatted once a row
         F.col("vehicle_type").alias("vendor_name"),
-        pick.alias("Trip_Pickup_DateTime"), ts.alias("Trip_Dropoff_DateTime"),
+        pick.alias("Trip_Pickup_DateTime"), F.col("_ts").alias("Trip_Dropoff_DateTime"),
         F.col("month").cast("bigint").alias("Passenger_Count"),
         _dbl("trip_distance").alias("Trip_Distance"),
         (F.col("pulocation_id").cast("double") / 1000 - 74.0).alias("Start_Lon"),

@@ -51,15 +51,22 @@ def schema_fingerprints(spark: SparkSession, paths, threads: int = 16) -> dict[s
     return dict(groups)
 
 
+def file_tags(spark: SparkSession, paths) -> DataFrame:
+    """The tags of each file name (``_file_name``), parsed once a file. Only file metadata is read."""
+    names = spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_name").alias("_file_name")).distinct()
+    return N.tag_from_file_name(names, F.col("_file_name"))
+
+
 def read_raw_trips(spark: SparkSession, paths, strict_case: bool = False) -> DataFrame:
     """A1 + B1-B7: scan raw trip files (one scan per schema fingerprint), normalize
-    each scan, tag rows from their file name, and union by name."""
-    frames = []
+    each scan, tag rows from their file name, and union by name. The tags come from a
+    broadcast of the file names: the pattern is not searched again for every row."""
+    frames, tags = [], F.broadcast(file_tags(spark, paths))
     for _fp, group in sorted(schema_fingerprints(spark, paths).items(), key=lambda kv: kv[1][0]):
         raw = spark.read.parquet(*group)
         with_name = raw.select("*", F.col("_metadata.file_name").alias("_file_name"))
         norm = N.normalize(with_name, strict_case=strict_case, keep=["_file_name"])
-        frames.append(N.tag_from_file_name(norm, F.col("_file_name")).drop("_file_name"))
+        frames.append(norm.join(tags, "_file_name").drop("_file_name"))
     return N.union_all(frames)
 
 

@@ -327,3 +327,14 @@ def test_rerun_without_weather_leaves_no_stale_rows(spark, workdir):
         assert rows.count() == n
         done = A.mart_completeness(gold.present_marts(spark, f"{workdir}/gold")).first()
         assert done.complet, done.manquants                     # an empty mart and a missing zone file are served as empty
+
+
+def test_file_names_are_parsed_once_a_file(spark, workdir):
+    for folder, at in (("a", "2016-07-01 08:00:00"), ("b", "2016-07-02 08:00:00"), ("c d%20", "2016-08-01 08:00:00")):
+        os.makedirs(f"{workdir}/{folder}")
+        _month_file(f"{workdir}/{folder}/yellow_tripdata_{at[:7]}.parquet", [at, at], strings=True)
+    trips = R.read_raw_trips(spark, [r.path for r in R.discover_files(spark, workdir).collect()])
+    got = sorted((r.pickup_ts.day, r.vehicle_type, r.year, r.month) for r in trips.collect())
+    assert got == [(1, "yellow", 2016, 7)] * 2 + [(1, "yellow", 2016, 8)] * 2 + [(2, "yellow", 2016, 7)] * 2   # no row twice for a name in two folders
+    side = [x for x in trips._jdf.queryExecution().optimizedPlan().toString().splitlines() if x.lstrip().startswith(":")]
+    assert side and not any("regexp_extract" in x for x in side)       # the rows meet the names' tags in a join

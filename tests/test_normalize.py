@@ -99,3 +99,27 @@ def test_wall_clock_parse_ignores_session_time_zone(spark):
         assert rows[1].a is None and rows[1].b is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_wall_clock_cast_takes_what_the_pattern_takes(spark):
+    from metrolake.functions.expressions import parse_wall_clock
+    at = lambda *x: dt.datetime(*x)
+    want = {"2016-02-29 23:59:58": at(2016, 2, 29, 23, 59, 58), "2016-01-01 10:59:60": at(2016, 1, 1, 11, 0), "2016-01-01 10:59:58\n": at(2016, 1, 1, 10, 59, 58),
+            "2015-02-29 23:59:58": None, "2016-01-01 24:00:00": None, "2016-01-01T10:59:58": None, "2016-01-01 10:59:5Z": None, "2016-01-01 10:59:5 ": None,
+            " 2016-01-01 10:59:5": None, "2016-1-01 10:59:588": None, "2016-01-01 10:59:5": None, "+016-01-01 10:59:58": None, "2016-01-01 10:59:58.5": None,
+            "2016-01-01": None, "not a time": None, "": None, None: None}
+    df = spark.createDataFrame([(t,) for t in want], "t string")
+    got = df.select("t", parse_wall_clock("t", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    assert {r.t: r.ts for r in got.collect()} == want
+    assert "cast(t" in got._jdf.queryExecution().optimizedPlan().toString()       # well-formed text does not go through the pattern
+
+
+def test_legacy_layout_formats_a_time_once(spark, workdir):
+    from metrolake.plans import catalog_reconcile as B
+    spark.sql("SELECT 1L AS l_orderkey, 2L AS l_partkey, 3L AS l_suppkey, id AS l_linenumber, 1D AS l_quantity, 9.5D AS l_extendedprice, 0.1D AS l_discount, "
+              "0.02D AS l_tax, 'A' AS l_returnflag, 'O' AS l_linestatus, TIMESTAMP_NTZ'1996-02-29 10:11:12' AS l_shipdate FROM VALUES 1, 5, 6 AS t(id)"
+              ).write.parquet(f"{workdir}/lineitem.parquet")
+    raw = B.legacy_raw(B._trips_l_with_line(spark, workdir))
+    assert sorted((r.Trip_Pickup_DateTime, r.Trip_Dropoff_DateTime) for r in raw.collect()) == [
+        (t, "1996-02-29 10:11:12") for t in ("1896-02-29 10:11:12", "1996-02-29 10:11:12", "not a time")]
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("date_format(") == 2      # the time, and the one a hundred years before
